@@ -44,18 +44,3 @@ def squared_distance(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column)
     """Squared Euclidean distance in degrees; longitudes do not wrap."""
     dy, dx = lat_a - lat_b, lon_a - lon_b
     return dy * dy + dx * dx
-
-
-def z_order(lat: Column, lon: Column) -> Column:
-    """Position along a Z-shaped curve: near on the curve is mostly near on the map."""
-
-    def spread(degrees: Column) -> Column:
-        scaled = (degrees + 512.0) * F.lit(2.0 ** 21)
-        bits = F.greatest(F.lit(0.0), F.least(scaled, F.lit(2.0 ** 31 - 1))).cast("bigint")
-        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF),
-                            (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333),
-                            (1, 0x5555555555555555)):
-            bits = bits.bitwiseOR(F.shiftleft(bits, shift)).bitwiseAND(F.lit(mask))
-        return bits
-
-    return F.shiftleft(spread(lat), 1).bitwiseOR(spread(lon))

@@ -1,15 +1,17 @@
 """Exact nearest-neighbour join of points to ocean coordinates, per year or over all years.
 
 The ocean is first reduced to one row per coordinate (and year), then packed into a
-shallow tree of bounding boxes kept as ordinary tables: coordinates sorted along a
-Z-shaped curve, every ``NODE_SIZE`` consecutive ones make a node, and nodes are packed
-the same way until each scope (one year, or all of them) has few enough for one row.
-Every node holds at most ``NODE_SIZE`` entries however dense the data are.
-
-A query point walks the tree by equi-joins on the node id. The first walk takes the most
-promising child each time and ends at a real coordinate, whose distance bounds the answer
-from above. The second takes every child whose box is not farther than that bound, so it
-cannot miss the nearest coordinate or one at equal distance.
+shallow tree of bounding boxes kept as ordinary tables (sort-tile-recursive packing):
+coordinates are cut by longitude into slices and each slice by latitude into nodes of
+``NODE_SIZE``, and nodes are packed the same way until each scope (one year, or all of
+them) has few enough for one row. Every node holds at most ``NODE_SIZE`` entries however
+dense the data are.
+
+A query point walks the tree by equi-joins on the node id, from the roots again for every
+level. Boxes are tight, so each one tells a distance within which it has a coordinate for
+sure; the least of these bounds the answer from above, and the next walk leaves out every
+box farther than the bound. The last walk goes on to the coordinates themselves. It cannot
+miss the nearest one, nor one at equal distance.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoalmark.functions.geo import squared_distance, z_order
+from shoalmark.functions.geo import squared_distance
 from shoalmark.operators.joins import sized_join
 from shoalmark.session import stage
 
@@ -32,19 +34,20 @@ ENTRY_BYTES = 96  # one node entry in a broadcast relation, rounded up
 # Scope of the coordinates of all years together; not a calendar year.
 ALL_YEARS = -1_000_000
 
+KEYS = ("q_lat", "q_lon", "q_scope")
 MATCHED = ("temperature_C", "salinity_PSU", "depth", "ocean_time")
 
 
 @dataclass(frozen=True)
 class OceanIndex:
-    """Tables of the box tree. ``levels`` goes from just below the root to the leaves' parents."""
+    """Tables of the box tree; ``levels`` goes from below the root to just above the leaves."""
 
-    roots: DataFrame      # scope, children
-    levels: list[DataFrame]  # node, children
-    leaves: DataFrame     # node, points
+    roots: DataFrame  # scope, entries: its topmost boxes
+    levels: list[DataFrame]  # node, entries: boxes one level further down
+    leaves: DataFrame  # node, entries: coordinates with their ocean rows
     level_bytes: list[int]
     leaf_bytes: int
-    years: DataFrame      # q_year, scope (equal): the years that have ocean rows
+    years: DataFrame  # q_year, scope (equal): the years that have ocean rows
 
 
 def representatives(ocean: DataFrame) -> DataFrame:
@@ -63,72 +66,78 @@ def representatives(ocean: DataFrame) -> DataFrame:
     )
 
 
-def _packed(entries: DataFrame, entry: Column, rows: int) -> DataFrame:
-    """Group consecutive entries of a scope into nodes of at most NODE_SIZE."""
-    tasks = max(1, math.ceil(rows / ROWS_PER_TASK))
-    placed = (
-        entries.repartitionByRange(tasks, "scope", "z", "south", "west")
-        .sortWithinPartitions("scope", "z", "south", "west")
+def _numbered(rows: DataFrame, tasks: int, *order: str) -> DataFrame:
+    """Rows in order, numbered from 0 in each task (``here``) and apart overall (``position``)."""
+    spread = rows.coalesce(1) if tasks == 1 else rows.repartitionByRange(tasks, *order)
+    position = F.col("position")
+    # The generated number counts rows in its low 33 bits and tasks in those above.
+    return (
+        spread.sortWithinPartitions(*order)
         .withColumn("position", F.monotonically_increasing_id())
+        .withColumn("here", position.bitwiseAND(F.lit((1 << 33) - 1)))
+    )
+
+
+def _packed(entries: DataFrame, sizes: DataFrame, rows: int, entry: Column) -> DataFrame:
+    """Group the entries of each scope into nodes of at most NODE_SIZE in compact boxes.
+
+    A slice takes as many entries as make its nodes about as wide as high.
+    """
+    tasks = max(1, math.ceil(rows / ROWS_PER_TASK))
+    slice_size = F.ceil(F.sqrt(F.col("n") / NODE_SIZE)) * NODE_SIZE
+    position, here = F.col("position"), F.col("here")
+    sliced = (
+        _numbered(entries, tasks, "scope", "west", "south", "id")
+        .join(F.broadcast(sizes), "scope")  # one row per calendar year at most
+        .withColumn("slice", position - here % slice_size)
+        .drop("n", "position", "here")
     )
-    # The position counts rows in the low 33 bits and tasks above them.
-    in_task = F.col("position").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        placed.groupBy("scope", (F.col("position") - in_task % NODE_SIZE).alias("run"))
+        _numbered(sliced, tasks, "scope", "slice", "south", "west", "id")
+        .groupBy("scope", "slice", (position - here % NODE_SIZE).alias("run"))
         .agg(
-            F.min("position").alias("node"),
-            F.collect_list(entry).alias("entries"),
+            F.min("position").alias("id"), F.collect_list(entry).alias("entries"),
             F.min("south").alias("south"), F.max("north").alias("north"),
             F.min("west").alias("west"), F.max("east").alias("east"),
-            F.min("z").alias("z"),
         )
-        .drop("run")
+        .drop("slice", "run")
     )
 
 
 def build_index(ocean: DataFrame, by_year: bool = True) -> OceanIndex:
     """Reduce and pack the ocean rows; ``by_year=False`` leaves out the single-year scopes."""
     reps = stage(representatives(ocean), "ocean-representatives")
-    overall = (
+    lat, lon = F.col("latitude"), F.col("longitude")
+    points = (
         reps.groupBy("latitude", "longitude").agg(F.min("first").alias("first"))
         .withColumn("scope", F.lit(ALL_YEARS))
     )
-    points = overall
     if by_year:
-        points = overall.unionByName(
-            reps.where("year is not null").withColumnRenamed("year", "scope")
-        )
-    lat, lon = F.col("latitude"), F.col("longitude")
-    points = points.select(
+        points = points.unionByName(
+            reps.where("year is not null").withColumnRenamed("year", "scope"))
+    entries = stage(points.select(
         "scope", lat.alias("south"), lat.alias("north"), lon.alias("west"), lon.alias("east"),
-        z_order(lat, lon).alias("z"), "first",
-    )
-    n_points = reps.count() * (2 if by_year else 1)
-    if n_points == 0:
-        raise ValueError("the ocean table has no row with coordinates")
-
-    point = F.struct(F.col("south").alias("lat"), F.col("west").alias("lon"), "first")
-    box = F.struct("node", "south", "north", "west", "east")
-    nodes = stage(_packed(points, point, n_points), "ocean-nodes")
-    tables = [nodes]
-    counts = [n_points]
+        F.lit(0).cast("bigint").alias("id"), "first"), "ocean-points")
+
+    entry = F.struct(F.col("south").alias("lat"), F.col("west").alias("lon"), "first")
+    tables: list[DataFrame] = []
+    table_bytes: list[int] = []
     while True:
-        per_scope = nodes.groupBy("scope").count().agg(
-            F.max("count").alias("most"), F.sum("count").alias("rows")).first()
-        if per_scope.most <= NODE_SIZE:
+        sizes = entries.groupBy("scope").agg(F.count(F.lit(1)).alias("n"))
+        total = sizes.agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+        if total.most is None:
+            raise ValueError("the ocean table has no row with coordinates")
+        if tables and total.most <= NODE_SIZE:
             break
-        nodes = stage(_packed(nodes, box, per_scope.rows), "ocean-nodes")
-        tables.append(nodes)
-        counts.append(per_scope.rows)
+        entries = stage(_packed(entries, sizes, total.rows, entry), "ocean-nodes")
+        tables.append(entries.select(F.col("id").alias("node"), "entries"))
+        table_bytes.append(total.rows * ENTRY_BYTES)
+        entry = F.struct(F.col("id").alias("node"), "south", "north", "west", "east")
     roots = stage(
-        nodes.groupBy("scope").agg(F.collect_list(box).alias("children")), "ocean-roots")
-    upper = [t.select("node", F.col("entries").alias("children")) for t in reversed(tables[1:])]
+        entries.groupBy("scope").agg(F.collect_list(entry).alias("entries")), "ocean-roots")
     return OceanIndex(
-        roots=roots,
-        levels=upper,
-        leaves=tables[0].select("node", F.col("entries").alias("points")),
-        level_bytes=[n * ENTRY_BYTES for n in reversed(counts[1:])],
-        leaf_bytes=counts[0] * ENTRY_BYTES,
+        roots=roots, levels=tables[:0:-1], leaves=tables[0],
+        level_bytes=table_bytes[:0:-1], leaf_bytes=table_bytes[0],
         years=roots.where(F.col("scope") != ALL_YEARS).select(
             F.col("scope").alias("q_year"), "scope"),
     )
@@ -158,29 +167,22 @@ def _surely_reached(lat: Column, lon: Column, box: Column) -> Column:
     return F.least(y_near * y_near + x_far * x_far, y_far * y_far + x_near * x_near)
 
 
-def _at_root(queries: DataFrame, index: OceanIndex) -> DataFrame:
-    """Each query with the children of its scope's root: one short row per scope to broadcast."""
-    return queries.join(F.broadcast(index.roots), F.col("q_scope") == F.col("scope"))
+def _boxes_in_reach(queries: DataFrame, index: OceanIndex, steps: int) -> DataFrame:
+    """Boxes ``steps`` levels below the roots that each query still has to look at.
 
-
-def _bounded(queries: DataFrame, index: OceanIndex) -> DataFrame:
-    """Add ``bound``: squared distance to a coordinate found by always taking the best child."""
+    Rows have the query's KEYS, its ``bound`` and the ``box``. On the way down every box
+    farther than the bound is left out; at the last level all are given.
+    """
     lat, lon = F.col("q_lat"), F.col("q_lon")
-    keys = queries.columns
-
-    def best_child(df: DataFrame) -> DataFrame:
-        best = F.array_min(F.transform("children", lambda c: F.struct(
-            _surely_reached(lat, lon, c).alias("reach"), c["node"].alias("node"))))
-        # Declared never null, or the planner adds null checks that repeat the whole search.
-        return df.select(*keys, F.coalesce(best["node"], F.lit(-1)).alias("node"))
-
-    walk = best_child(_at_root(queries, index))
-    for table, size in zip(index.levels, index.level_bytes):
-        walk = best_child(sized_join(walk, table, ["node"], size))
-    at_leaf = sized_join(walk, index.leaves, ["node"], index.leaf_bytes)
-    distances = F.transform("points", lambda p: squared_distance(lat, lon, p["lat"], p["lon"]))
-    return at_leaf.select(
-        *keys, F.coalesce(F.array_min(distances), F.lit(float("inf"))).alias("bound"))
+    # One short row per scope: the roots are as many as calendar years at most.
+    rows = queries.join(F.broadcast(index.roots), F.col("q_scope") == F.col("scope"))
+    rows = rows.select(*KEYS, "bound", F.explode("entries").alias("box"))
+    for table, size in list(zip(index.levels, index.level_bytes))[:steps]:
+        near = rows.where(_least_possible(lat, lon, F.col("box")) <= F.col("bound"))
+        near = near.select(*KEYS, "bound", F.col("box.node").alias("node"))
+        rows = sized_join(near, table, ["node"], size).select(
+            *KEYS, "bound", F.explode("entries").alias("box"))
+    return rows
 
 
 def _walk_tasks(spark: SparkSession, rows: int) -> int:
@@ -197,32 +199,33 @@ def match(queries: DataFrame, index: OceanIndex) -> DataFrame:
     the smaller latitude, then longitude. The rows are spread over the tasks by their key,
     so that bringing together what one key found needs no further shuffle.
     """
+    lat, lon, bound, box = F.col("q_lat"), F.col("q_lon"), F.col("bound"), F.col("box")
     tasks = _walk_tasks(queries.sparkSession, queries.count())
-    lat, lon, bound = F.col("q_lat"), F.col("q_lon"), F.col("bound")
-    keys = ["q_lat", "q_lon", "q_scope"]
-    walk = _bounded(queries.select(*keys).repartition(tasks, *keys), index)
-
-    def kept_children(df: DataFrame) -> DataFrame:
-        return (
-            df.select(*keys, "bound", F.explode("children").alias("c"))
-            .where(_least_possible(lat, lon, F.col("c")) <= bound)
-            .select(*keys, "bound", F.col("c.node").alias("node"))
-        )
-
-    walk = kept_children(_at_root(walk, index))
-    for table, size in zip(index.levels, index.level_bytes):
-        walk = kept_children(sized_join(walk, table, ["node"], size))
+    depth = len(index.levels)
+    bounded = queries.select(*KEYS).repartition(tasks, *KEYS).withColumn(
+        "bound", F.lit(float("inf")))
+    for steps in range(depth + 1):
+        reached = _boxes_in_reach(bounded, index, steps).withColumn(
+            "reach", _surely_reached(lat, lon, box))
+        bounded = reached.groupBy(*KEYS).agg(
+            F.least(F.min("bound"), F.min("reach")).alias("bound"))
+
+    leaves = (
+        _boxes_in_reach(bounded, index, depth)
+        .where(_least_possible(lat, lon, box) <= bound)
+        .select(*KEYS, "bound", F.col("box.node").alias("node"))
+    )
     candidates = (
-        sized_join(walk, index.leaves, ["node"], index.leaf_bytes)
-        .select(*keys, "bound", F.explode("points").alias("p"))
+        sized_join(leaves, index.leaves, ["node"], index.leaf_bytes)
+        .select(*KEYS, "bound", F.explode("entries").alias("p"))
         .withColumn("d2", squared_distance(lat, lon, F.col("p.lat"), F.col("p.lon")))
         .where(F.col("d2") <= bound)
     )
-    best = F.min(F.struct("d2", F.col("p.lat").alias("plat"), F.col("p.lon").alias("plon"),
+    best = F.min(F.struct("d2", F.col("p.lat").alias("lat"), F.col("p.lon").alias("lon"),
                           F.col("p.first").alias("first")))
     return (
-        candidates.groupBy(*keys).agg(best.alias("best"))
-        .select(*keys, F.struct(
+        candidates.groupBy(*KEYS).agg(best.alias("best"))
+        .select(*KEYS, F.struct(
             F.col("best.d2").alias("d2"),
             *[F.col(f"best.first.{c}").alias(c) for c in MATCHED]).alias("hit"))
     )
@@ -247,8 +250,7 @@ def attach_nearest(points: DataFrame, index: OceanIndex, own_year: Column | None
         .withColumn("q_lat", F.col(lat) + F.lit(0.0))
         .withColumn("q_lon", F.col(lon) + F.lit(0.0))
     )
-    keys = ["q_lat", "q_lon", "q_scope"]
-    distinct = stage(scoped.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "query-points")
+    distinct = stage(scoped.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")), "query-points")
     found = match(distinct, index)
     size = distinct.count() * ENTRY_BYTES
-    return sized_join(scoped, found, keys, size, counted=distinct).drop(*keys)
+    return sized_join(scoped, found, KEYS, size, counted=distinct).drop(*KEYS)

@@ -56,17 +56,19 @@ select cast('2020-01-01' as date) + cast(vec_id as int) as time, cast(vec_id % 3
 from embeddings""",
 }
 
-BASE_TABLES = ("region", "nation", "supplier", "part", "orders", "lineitem", "events",
-               "embeddings", "labels")
-
-# Each view with what it reads, views in the order they build on each other.
+# What each view reads: tables, and other views in the order they build on each other.
+_TABLES = {
+    "occ": ["events"], "occ_raw": ["events"], "fused": ["events"], "ocean": ["orders"],
+    "taxa": ["lineitem", "part", "supplier", "nation", "region"],
+    "pred": ["labels"], "grid_slices": ["embeddings"],
+}
 _NEEDS = {"occ_raw": ["occ"], "fused": ["occ", "occ_raw"]}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the VIEWS over the tables in ``sf_dir``."""
     configure(spark)
-    for table in BASE_TABLES:
+    for table in _TABLES[name]:
         spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     for needed in _NEEDS.get(name, []):
         spark.sql(VIEWS[needed]).createOrReplaceTempView(needed)
