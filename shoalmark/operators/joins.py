@@ -19,7 +19,7 @@ def hot_keys(counted: DataFrame, on: Sequence[str], weight: str = "n") -> DataFr
     total = counted.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("total"))
     return stage(
         counted.where(F.col(weight) * HOT_SHARE > total.scalar())
-        .select(*on, F.ceil(F.col(weight) * HOT_SHARE / total.scalar()).cast("int").alias("parts")),
+        .select(*on, F.ceil(F.col(weight) * HOT_SHARE / total.scalar()).cast("int").alias("__parts")),
         "hot-keys",
     )
 
@@ -34,12 +34,12 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], hot: DataF
     on = list(on)
     hot = F.broadcast(hot)
     salted_left = left.join(hot, on, "left").withColumn(
-        "salt", F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("parts")), F.lit(0))
-    ).drop("parts")
+        "__salt", F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("__parts")), F.lit(0))
+    ).drop("__parts")
     salted_right = right.join(hot, on, "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)) - 1))
-    ).drop("parts")
-    return salted_left.join(salted_right, [*on, "salt"], how).drop("salt")
+        "__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("__parts", F.lit(1)) - 1))
+    ).drop("__parts")
+    return salted_left.join(salted_right, [*on, "__salt"], how).drop("__salt")
 
 
 def sized_join(left: DataFrame, right: DataFrame, on: Sequence[str], right_bytes: int,

@@ -47,7 +47,7 @@ class OceanIndex:
     leaves: DataFrame  # node, entries: coordinates with their ocean rows
     level_bytes: list[int]
     leaf_bytes: int
-    years: DataFrame  # q_year, scope (equal): the years that have ocean rows
+    years: DataFrame  # q_year, q_scope (equal): the years that have ocean rows
 
 
 def representatives(ocean: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def build_index(ocean: DataFrame, by_year: bool = True) -> OceanIndex:
         roots=roots, levels=tables[:0:-1], leaves=tables[0],
         level_bytes=table_bytes[:0:-1], leaf_bytes=table_bytes[0],
         years=roots.where(F.col("scope") != ALL_YEARS).select(
-            F.col("scope").alias("q_year"), "scope"),
+            F.col("scope").alias("q_year"), F.col("scope").alias("q_scope")),
     )
 
 
@@ -244,8 +244,8 @@ def attach_nearest(points: DataFrame, index: OceanIndex, own_year: Column | None
         .withColumn("q_year", year)
         # One row per calendar year at most, whatever the size of the ocean table.
         .join(F.broadcast(index.years), "q_year", "left")
-        .withColumn("q_scope", F.coalesce("scope", F.lit(ALL_YEARS)))
-        .drop("q_year", "scope")
+        .withColumn("q_scope", F.coalesce("q_scope", F.lit(ALL_YEARS)))
+        .drop("q_year")
         # Shuffle and join keys treat -0.0 as 0.0 and so must the lookup.
         .withColumn("q_lat", F.col(lat) + F.lit(0.0))
         .withColumn("q_lon", F.col(lon) + F.lit(0.0))
