@@ -47,10 +47,12 @@ def sized_join(left: DataFrame, right: DataFrame, on: Sequence[str], right_bytes
     """Join on ``on``: no shuffle of ``left`` if ``right`` is measured to fit a broadcast.
 
     ``counted`` gives rows of ``left`` per key (columns ``on`` and ``n``) where the caller
-    has them already; otherwise they are counted here, and only when salting is needed.
+    has them already. Otherwise ``left`` is staged and counted here, so that what leads to
+    it runs once, and only when salting is needed.
     """
     if right_bytes <= broadcast_budget(left.sparkSession):
         return left.join(F.broadcast(right), list(on), how)
     if counted is None:
+        left = stage(left, "join-input")
         counted = left.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
     return salted_join(left, right, on, hot_keys(counted, on), how)

@@ -20,7 +20,9 @@ from shoalmark.session import stage
 
 TREES = 100
 ROW_KEY = ("occ_id", "draw")
-ROWS_PER_TASK = 200_000
+DEEPEST, BOUNDED_DEPTH, DEEP_ROWS = 30, 15, 20_000
+LEAST_TASKS = 8
+LEAST_ROWS_PER_TASK, MOST_ROWS_PER_TASK, MANY_TASKS = 20_000, 2_000_000, 1_000
 # Stands for a missing measurement: sorts after every real value, so that trees can part
 # missing from present and no training row is lost.
 MISSING = 1e30
@@ -35,20 +37,30 @@ def feature_columns(model: PipelineModel) -> list[str]:
 
 
 def fit_forest(training: DataFrame, features: Sequence[str], trees: int = TREES,
-               seed: int = DEFAULT_SEED) -> PipelineModel:
+               seed: int = DEFAULT_SEED, max_depth: int | None = None) -> PipelineModel:
     """Fit on rows (features, ``presence``, row key).
 
+    Trees of few rows may grow as deep as Spark lets them. Fully grown trees have about as
+    many nodes as rows, and the driver holds them all, so with many rows the depth is kept
+    where the forest's size no longer depends on their number.
+
     The forest depends on how rows lie in partitions, so they are put by key hash into a
     number of partitions that only the row count sets, sorted within each, and staged.
+    Each row's node is kept between levels, as walking deep trees anew costs most; the
+    lineage of that is cut by checkpoints in the shared folder.
     """
     rows = _features_ready(training, features).select(*ROW_KEY, *features, "presence")
     rows = stage(rows, "forest-input")
-    tasks = max(8, -(-rows.count() // ROWS_PER_TASK))
+    n = rows.count()
+    if max_depth is None:
+        max_depth = DEEPEST if n <= DEEP_ROWS else BOUNDED_DEPTH
+    tasks = max(LEAST_TASKS, min(n // LEAST_ROWS_PER_TASK, MANY_TASKS), n // MOST_ROWS_PER_TASK)
     laid_out = rows.repartition(tasks, *ROW_KEY).sortWithinPartitions(*ROW_KEY)
     forest = RandomForestClassifier(
         labelCol="presence", featuresCol="features", numTrees=trees, seed=seed,
         impurity="gini", featureSubsetStrategy="sqrt", minInstancesPerNode=1,
-        maxDepth=30, maxBins=256, maxMemoryInMB=1024,
+        maxDepth=max_depth, maxBins=256, maxMemoryInMB=1024,
+        cacheNodeIds=True, checkpointInterval=10,
     )
     assemble = VectorAssembler(inputCols=list(features), outputCol="features")
     return Pipeline(stages=[assemble, forest]).fit(laid_out)
