@@ -49,7 +49,10 @@ def surface_rows(slices: DataFrame) -> DataFrame:
 
 
 def within_year(ocean: DataFrame, year: int) -> DataFrame:
-    """Rows from the first to the last second of a calendar year."""
+    """Rows from the first to the last second of a calendar year.
+
+    The limits take the column's own type, so that the filter reaches the scan.
+    """
+    kind = ocean.schema["time"].dataType
     first, last = f"{year}-01-01 00:00:00", f"{year}-12-31 23:59:59"
-    return ocean.where(F.col("time").between(F.lit(first).cast("timestamp"),
-                                             F.lit(last).cast("timestamp")))
+    return ocean.where(F.col("time").between(F.lit(first).cast(kind), F.lit(last).cast(kind)))

@@ -150,7 +150,7 @@ union all select 'num_species', count(distinct species) from taxa"""),
     "select_existing": with_views("taxa", """
 select line_key, species, eventDate, phylum, taxon_class, taxon_order, family, genus from taxa"""),
     "normalise_names": with_views("occ_raw", f"select occ_id, {_NAMES} as name from occ_raw"),
-    "species_key_of_names": with_views("taxa", """
+    "species_key": with_views("taxa", """
 select name, replace(regexp_replace(name, '[^\\p{L}\\p{N} _]', '', 'g'), ' ', '_') as species_key
 from (select distinct species || ' (' || family || ', ' || genus || '.)' as name from taxa
   where species is not null)"""),
@@ -159,7 +159,7 @@ select family as species_key, count(distinct line_key % 2) as n_names from taxa
 group by family having n_names > 1"""),
     "parse_event_date": with_views("occ", """
 select occ_id, try_cast(eventDate as timestamp) as event_time from occ"""),
-    "event_years": with_views("occ", """
+    "event_year": with_views("occ", """
 select occ_id, year(try_cast(eventDate as timestamp))::int as year from occ
 where try_cast(eventDate as timestamp) is not null"""),
     "grid_flatten": _slice_rows(""),
@@ -209,7 +209,7 @@ select occ_id, sqrt(hit.d2) as distance, {_MATCHED.replace('best', 'hit')} from
 select occ_id, y::int as year, sqrt(best.d2) as distance, {_MATCHED}
 from (select f.occ_id, f.y, coalesce(i.hit, f.hit) as best from filled f left join in_year i using (occ_id)
   where f.event_time is not null)"""),
-    "fuse_occurrences": _nearest(f"""
+    "fuse": _nearest(f"""
 select occ_id, species, decimalLatitude, decimalLongitude, coalesce(event_time, overall_time) as eventDate,
   {_MATCHED}, y::int as eventYear
 from (select f.* exclude (hit), f.hit.ocean_time as overall_time, coalesce(i.hit, f.hit) as best
@@ -255,9 +255,9 @@ where decimalLatitude is not null and decimalLongitude is not null group by 1, 2
     "pseudo_absence": with_views("fused", f""", {_BOX.format(t='fused')}
 select occ_id, draw, decimalLatitude, decimalLongitude from (
 {_ABSENCES.format(t='fused', ratio=2)})"""),
-    "training_rows": _training("view", False),
-    "training_rows_env": _training("view", True),
-    "training_rows_all_species": with_views("fused", f""", {_BOX.format(t='fused')},
+    "training_set": _training("view", False),
+    "training_set_env": _training("view", True),
+    "training_sets": with_views("fused", f""", {_BOX.format(t='fused')},
 mine as (select fused.* from fused where species in (
   select arg_min(species, occ_id) from fused group by {_NAMES}))
 select species, occ_id, 0::int as draw, decimalLatitude, decimalLongitude, 1::int as presence

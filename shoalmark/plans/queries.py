@@ -34,7 +34,7 @@ def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return function(configure(spark), sf_dir)
 
-    QUERIES[function.__name__] = run
+    QUERIES[function.__name__.removesuffix("_query")] = run
     return run
 
 
@@ -133,7 +133,7 @@ def normalise_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def species_key_of_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+def species_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat("species", F.lit(" ("), "family", F.lit(", "), "genus", F.lit(".)"))
     return view(spark, sf_dir, "taxa").where("species is not null").select(
         name.alias("name")).distinct().select("name", species_key(F.col("name")).alias("species_key"))
@@ -152,7 +152,7 @@ def parse_event_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def event_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_year_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "occ").select(
         "occ_id", event_year(F.col("eventDate")).alias("year")).where("year is not null")
 
@@ -280,7 +280,7 @@ def nearest_same_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def fuse_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fuse_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuse(view(spark, sf_dir, "occ"), ocean_rows(spark, sf_dir))
 
 
@@ -358,18 +358,18 @@ def pseudo_absence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def training_set_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_set(view(spark, sf_dir, "fused"), "View")
 
 
 @query
-def training_rows_env(spark: SparkSession, sf_dir: str) -> DataFrame:
+def training_set_env(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training_set(view(spark, sf_dir, "fused"), "view ", with_environment=True)
     return rows.withColumns({c: F.round(c, 9) for c in ("temperature", "salinity")})
 
 
 @query
-def training_rows_all_species(spark: SparkSession, sf_dir: str) -> DataFrame:
+def training_sets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_sets(view(spark, sf_dir, "fused"))
 
 
