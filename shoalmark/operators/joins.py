@@ -24,9 +24,9 @@ def hot_keys(counted: DataFrame, on: Sequence[str], weight: str = "n") -> DataFr
     )
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], hot: DataFrame,
-                how: str = "inner") -> DataFrame:
-    """Shuffle join that spreads each hot key of ``left`` over its own number of parts.
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str],
+                hot: DataFrame) -> DataFrame:
+    """Inner shuffle join that spreads each hot key of ``left`` over its own number of parts.
 
     Rows of a hot key get a part by the hash of the whole row; ``right`` rows of that
     key are repeated once per part. No row is dropped and none is matched twice.
@@ -39,20 +39,20 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], hot: DataF
     salted_right = right.join(hot, on, "left").withColumn(
         "__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("__parts", F.lit(1)) - 1))
     ).drop("__parts")
-    return salted_left.join(salted_right, [*on, "__salt"], how).drop("__salt")
+    return salted_left.join(salted_right, [*on, "__salt"]).drop("__salt")
 
 
 def sized_join(left: DataFrame, right: DataFrame, on: Sequence[str], right_bytes: int,
-               how: str = "inner", counted: DataFrame | None = None) -> DataFrame:
-    """Join on ``on``: no shuffle of ``left`` if ``right`` is measured to fit a broadcast.
+               counted: DataFrame | None = None) -> DataFrame:
+    """Inner join on ``on``: no shuffle of ``left`` if ``right`` is measured to fit a broadcast.
 
     ``counted`` gives rows of ``left`` per key (columns ``on`` and ``n``) where the caller
     has them already. Otherwise ``left`` is staged and counted here, so that what leads to
     it runs once, and only when salting is needed.
     """
     if right_bytes <= broadcast_budget(left.sparkSession):
-        return left.join(F.broadcast(right), list(on), how)
+        return left.join(F.broadcast(right), list(on))
     if counted is None:
         left = stage(left, "join-input")
         counted = left.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    return salted_join(left, right, on, hot_keys(counted, on), how)
+    return salted_join(left, right, on, hot_keys(counted, on))

@@ -29,7 +29,8 @@ from shoalmark.session import stage
 NODE_SIZE = 32
 ROWS_PER_TASK = 250_000
 LEAST_QUERIES_PER_TASK, MOST_QUERIES_PER_TASK = 5_000, 1_000_000
-ENTRY_BYTES = 96  # one node entry in a broadcast relation, rounded up
+# Sizes in a broadcast relation, rounded up: one node entry, one result row.
+ENTRY_BYTES, RESULT_BYTES = 96, 192
 
 # Scope of the coordinates of all years together; not a calendar year.
 ALL_YEARS = -1_000_000
@@ -252,5 +253,5 @@ def attach_nearest(points: DataFrame, index: OceanIndex, own_year: Column | None
     )
     distinct = stage(scoped.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")), "query-points")
     found = match(distinct, index)
-    size = distinct.count() * ENTRY_BYTES
+    size = distinct.count() * RESULT_BYTES
     return sized_join(scoped, found, KEYS, size, counted=distinct).drop(*KEYS)
