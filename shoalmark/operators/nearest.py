@@ -43,9 +43,10 @@ MATCHED = ("temperature_C", "salinity_PSU", "depth", "ocean_time")
 class OceanIndex:
     """Tables of the box tree; ``levels`` goes from below the root to just above the leaves."""
 
-    roots: DataFrame  # scope, entries: its topmost boxes
+    roots: DataFrame  # q_scope, entries: the scope's topmost boxes
     levels: list[DataFrame]  # node, entries: boxes one level further down
     leaves: DataFrame  # node, entries: coordinates with their ocean rows
+    root_bytes: int
     level_bytes: list[int]
     leaf_bytes: int
     years: DataFrame  # q_year, q_scope (equal): the years that have ocean rows
@@ -135,12 +136,13 @@ def build_index(ocean: DataFrame, by_year: bool = True) -> OceanIndex:
         table_bytes.append(total.rows * ENTRY_BYTES)
         entry = F.struct(F.col("id").alias("node"), "south", "north", "west", "east")
     roots = stage(
-        entries.groupBy("scope").agg(F.collect_list(entry).alias("entries")), "ocean-roots")
+        entries.groupBy(F.col("scope").alias("q_scope"))
+        .agg(F.collect_list(entry).alias("entries")), "ocean-roots")
     return OceanIndex(
         roots=roots, levels=tables[:0:-1], leaves=tables[0],
-        level_bytes=table_bytes[:0:-1], leaf_bytes=table_bytes[0],
-        years=roots.where(F.col("scope") != ALL_YEARS).select(
-            F.col("scope").alias("q_year"), F.col("scope").alias("q_scope")),
+        root_bytes=total.rows * ENTRY_BYTES, level_bytes=table_bytes[:0:-1], leaf_bytes=table_bytes[0],
+        years=roots.where(F.col("q_scope") != ALL_YEARS).select(
+            F.col("q_scope").alias("q_year"), "q_scope"),
     )
 
 
@@ -175,9 +177,7 @@ def _boxes_in_reach(queries: DataFrame, index: OceanIndex, steps: int) -> DataFr
     farther than the bound is left out; at the last level all are given.
     """
     lat, lon = F.col("q_lat"), F.col("q_lon")
-    # One short row per scope: the roots are as many as calendar years at most.
-    rows = queries.join(F.broadcast(index.roots), F.col("q_scope") == F.col("scope"))
-    rows = rows.select(*KEYS, "bound", F.explode("entries").alias("box"))
+    rows = sized_join(queries, index.roots, ["q_scope"], index.root_bytes).select(*KEYS, "bound", F.explode("entries").alias("box"))
     for table, size in list(zip(index.levels, index.level_bytes))[:steps]:
         near = rows.where(_least_possible(lat, lon, F.col("box")) <= F.col("bound"))
         near = near.select(*KEYS, "bound", F.col("box.node").alias("node"))
