@@ -3,3 +3,34 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op2_exact_top_k"] = r"""
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) v
+  from embeddings where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select q.vec_id query_id, c.vec_id vec_id,
+    cast(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) as bigint) score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 100 = 0),
+r as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) rank from s)
+select query_id, rank, vec_id, score from r where rank <= 10
+"""
+
+ORACLES["op4_chat_formatting"] = r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') role, coalesce(text, '') said from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+l as (
+  select *, case when role = 'assistant' then said else '' end learned,
+    15 + length(role) + length(said) + length(regexp_replace(role || said, '[^\\<>]', '', 'g')) written
+  from t)
+select conv_id, count(*) n_turns,
+  sha256(string_agg(role || chr(10) || said || chr(10), '' order by turn, role, said)) turns_sha256,
+  cast(sum(length(learned)) as bigint) loss_chars,
+  sha256(string_agg(learned, '' order by turn, role, said)) loss_sha256,
+  cast(sum(written) as bigint) formatted_chars
+from l group by conv_id
+"""
