@@ -15,7 +15,7 @@ QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 def comparable(df):
     def cell(value):
-        if value is None or value is pd.NaT or value != value:
+        if value is None or pd.isna(value):
             return ""
         if isinstance(value, str):
             return value
