@@ -4,6 +4,20 @@ from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
 
+ORACLES["op1_warc"] = """
+with p as (select page_id, coalesce(html, '') html from pages),
+d as (
+  select page_id, strlen(html) payload_bytes, sha1(html) h,
+    min(page_id) over (partition by sha1(html)) first_id from p)
+select page_id, payload_bytes,
+  translate(list_aggregate(list_transform(range(8), lambda i:
+      to_base(cast('0x' || substr(h, 1 + 5 * i, 5) as bigint), 32, 4)), 'string_agg', ''),
+    '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') payload_digest,
+  case when page_id = first_id then 'response' else 'revisit' end record_type,
+  case when page_id <> first_id then first_id end refers_to
+from d
+"""
+
 ORACLES["op2_exact_top_k"] = r"""
 with v as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) v

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoalmark.llm import chat, kd_search, packing
+from shoalmark.llm import chat, kd_search, packing, warc
 from shoalmark.llm.common import table
 from shoalmark.session import configure
 
@@ -26,6 +26,11 @@ def query(function: Query) -> Query:
     return run
 
 
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0).drop("url", "payload")
+
+
 @query
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = kd_search.integer_vectors(table(spark, sf_dir, "embeddings"), scale=1024)
