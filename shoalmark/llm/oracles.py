@@ -48,3 +48,38 @@ select conv_id, count(*) n_turns,
   cast(sum(written) as bigint) formatted_chars
 from l group by conv_id
 """
+
+ORACLES["op10_quality_rules"] = r"""
+with d as (
+  select doc_id, coalesce(text, '') t,
+    chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) spaces from documents),
+w as (
+  select *,
+    list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) ls
+  from d),
+g as (select doc_id, ws, unnest(range(1, len(ws) - 1)) p from w),
+c as (select doc_id, p, count(*) over (partition by doc_id, ws[p], ws[p + 1], ws[p + 2]) n from g),
+q as (select doc_id, unnest([p, p + 1, p + 2]) place from c where n >= 2),
+r as (select doc_id, count(distinct place) n_repeat_words from q group by doc_id),
+l as (
+  select doc_id, word, length(translate(line, spaces, '')) chars,
+    regexp_matches(line, '[.!?:;…。！？]["''”’»)\]]*([\x20\x09-\x0D]|\z)')
+    and length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) <= 0.05e0 * length(line)
+    and length(regexp_replace(line, '[^!?]', '', 'g')) <= 0.05e0 * length(line)
+    and length(regexp_replace(line, '[^|>»·•]', '', 'g')) <= 2
+    and not (length(line) <= 200 and regexp_matches(line,
+      '(?i)javascript|cookie|lorem ipsum|terms of use|terms of service|privacy policy|all rights reserved|licensed under|released under the|sign in|log in|read more|click here|skip to content|subscribe to our|copyright ©')) passes
+  from (select doc_id, spaces, unnest(ls) line, true word from w)),
+k as (select doc_id, sum(case when passes then chars else 0 end) kept_chars from l group by doc_id),
+b as (
+  select w.doc_id, len(ws) n_words, length(translate(t, spaces, '')) word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) n_symbols,
+    len(ls) - len(list_distinct(ls)) n_dup_lines, coalesce(n_repeat_words, 0) n_repeat_words,
+    coalesce(kept_chars, 0) kept_chars
+  from w left join r on w.doc_id = r.doc_id left join k on w.doc_id = k.doc_id),
+f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from b)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and kept_chars >= 0.7e0 * word_chars kept
+from f
+"""

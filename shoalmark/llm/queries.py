@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoalmark.llm import chat, kd_search, packing, warc
+from shoalmark.llm import chat, kd_search, packing, quality, warc
 from shoalmark.llm.common import table
 from shoalmark.session import configure
 
@@ -49,3 +49,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(-7, 0, "user", forged), (-7, 1, "assistant", forged)],
                                   "conv_id long, turn long, role string, text string")
     return chat.read_back(chat.format_chats(conversations.unionByName(probe), BYTE_BPE))
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
