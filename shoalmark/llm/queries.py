@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoalmark.llm import chat, kd_search, packing, quality, warc
+from shoalmark.llm import bpe, chat, kd_search, packing, quality, warc
 from shoalmark.llm.common import table
 from shoalmark.session import configure
 
@@ -56,3 +56,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+@query
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
