@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoalmark.session import broadcast_budget
+
 # The white space that separates words in the query contracts.
 SPACE_CLASS = "[\\x20\\x09-\\x0D]+"
 
@@ -55,3 +57,14 @@ def in_arrow(df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: str)
                 [pa.array(columns[f.name], f.type) for f in target], schema=target)
 
     return df.mapInArrow(run, schema)
+
+
+def left_join_sized(left: DataFrame, right: DataFrame, on: list[str], right_bytes: int) -> DataFrame:
+    """Left join that broadcasts ``right`` if it is measured to fit, else shuffles both sides.
+
+    ``right`` has each key once, so in the shuffle join only ``left`` can be skewed, and
+    adaptive execution splits its large partitions.
+    """
+    if right_bytes <= broadcast_budget(left.sparkSession):
+        right = F.broadcast(right)
+    return left.join(right, on, "left")

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoalmark.llm import bpe, chat, kd_search, packing, quality, warc
+from shoalmark.llm import bpe, chat, kd_search, line_dedup, packing, quality, warc
 from shoalmark.llm.common import table
 from shoalmark.session import configure
 
@@ -61,3 +62,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(documents).select(
+        "doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))

@@ -1,0 +1,76 @@
+import random
+import re
+
+import pytest
+from shoalmark.llm import line_dedup
+
+
+def brute(docs, min_words):
+    """Every run of every length, compared as a tuple of lines."""
+    first, found = {}, {}
+    for name in sorted(set(docs), key=lambda d: (d[0] is not None, d[0], d[2])):
+        lines = [(i, x) for i, x in enumerate((name[1] or "").split("\n")) if re.search(r"[^\x20\x09-\x0D]", x)]
+        gone = set()
+        for i in range(len(lines)):
+            words = 0
+            for j in range(i, len(lines)):
+                words += len(re.findall(r"[^\x20\x09-\x0D]+", lines[j][1]))
+                if words >= min_words:
+                    run = tuple(x for _, x in lines[i:j + 1])
+                    if first.setdefault(run, (name, i)) != (name, i):
+                        gone |= {line for line, _ in lines[i:j + 1]}
+        found[name[:2]] = gone
+    return found
+
+
+@pytest.mark.parametrize("seed,min_words", [(1, 3), (2, 5), (3, 10), (4, 1)])
+def test_equals_brute_force(spark, frame, seed, min_words):
+    from pyspark.sql import functions as F
+    from shoalmark.llm.common import text_key
+
+    rng = random.Random(seed)
+    pool = ["a", "b", "c d", "e f g", "h i j k l", "", " ", "m\tn", "one two three four five six seven"]
+    texts = [None, "", "x", "\n".join(["hot line of many words to see here now yes ok"] * 40)]
+    for _ in range(60):
+        texts.append("\n".join(rng.choice(pool) if rng.random() < 0.8 else f"own {rng.random()}"
+                               for _ in range(rng.randint(0, 14))))
+    texts += texts[10:30]
+    rows = [(None if i in (5, 6) else i // 2, t) for i, t in enumerate(texts)] + [(10, texts[20])]
+    df = frame(rows, "doc_id long, text string")
+    keys = {(r.doc_id, r.text): r.key for r in df.select(
+        "doc_id", "text", text_key(F.col("doc_id"), F.coalesce("text", F.lit(""))).alias("key")).collect()}
+    expected = brute([(d, t, keys[d, t]) for d, t in rows], min_words)
+    found = line_dedup.dedup_lines(df, min_words).collect()
+    assert len(found) == len(rows)
+    got = sorted(((r.doc_id, r.text, r.n_removed) for r in found), key=repr)
+    want = []
+    for d, t in rows:
+        gone = expected[d, t]
+        text = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone) if t is not None else None
+        want.append((d, text, len(gone)))
+    assert got == sorted(want, key=repr)
+
+
+def test_without_broadcast(spark, frame, no_broadcast):
+    test_equals_brute_force(spark, frame, 7, 4)
+
+
+def test_ranks_are_in_the_order_of_the_runs(frame):
+    rows = [(i, "\n".join("abcd"[(i * k) % 4] for k in range(1, 9))) for i in range(12)]
+    ranks = line_dedup.suffix_ranks(line_dedup.line_rows(frame(rows, "doc_id long, text string")), 4).collect()
+    by_place = {(r.doc_id, r.seq): r for r in ranks}
+    for level in (1, 2):
+        step = 1 << level - 1
+        named = [((by_place[r.doc_id, r.seq][f"r{level - 1}"], by_place[r.doc_id, r.seq + step][f"r{level - 1}"]),
+                  r[f"r{level}"]) for r in ranks if r[f"r{level}"] is not None]
+        order = sorted(set(named))
+        assert [x[1] for x in order] == sorted({x[1] for x in order})
+        assert len(order) == len({x[0] for x in order})
+
+
+def test_maximal_runs_and_empty(frame):
+    passage = "\n".join(f"a line of the passage number {i}" for i in range(6))
+    df = frame([(1, passage), (2, f"own\n{passage}\nend")], "doc_id long, text string")
+    runs = line_dedup.maximal_runs(line_dedup.removed_lines(df)).collect()
+    assert [(r.doc_id, r.first_line, r.n_lines) for r in runs] == [(2, 1, 6)]
+    assert line_dedup.dedup_lines(frame([], "doc_id long, text string")).collect() == []
