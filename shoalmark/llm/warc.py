@@ -20,6 +20,8 @@ from urllib.parse import urlsplit
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from shoalmark.llm.common import in_arrow
 from shoalmark.operators.joins import sized_join
@@ -35,6 +37,7 @@ BASE32 = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 RECORD = ("page_id long, url string, record_type string, payload_bytes long, "
           "payload_digest string, refers_to long, payload binary")
+READ_ROWS = 1000  # records that leave a reading task together
 CAPTURE = "url_key string, record_id string, path string, start long, length long"
 
 
@@ -147,17 +150,20 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         F.when(~revisit, F.col("payload")).alias("payload"))
 
 
-def write_archives(rows: DataFrame, path: str, records_per_file: int = 20_000) -> None:
+def write_archives(rows: DataFrame, path: str, records_per_file: int = 4000) -> None:
     """Write the records of ``records`` as gzip archives below ``path``.
 
+    Readers hold one archive at a time, so ``records_per_file`` must keep it well below the
+    2 GB that Spark can hold in a cell.
+
     The text sink writes bytes as they are; its line separator, an empty gzip member, is
     passed as Latin-1 so that it too is written byte for byte.
     """
 
-    def members(batch: pa.RecordBatch) -> dict:
+    def compressed(batch: pa.RecordBatch) -> dict:
         return {"member": [gzip.compress(to_record(row), 6, mtime=0) for row in _rows(batch)]}
 
-    (in_arrow(rows, members, "member binary").select(F.col("member").cast("string"))
+    (in_arrow(rows, compressed, "member binary").select(F.col("member").cast("string"))
      .write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1")
      .option("maxRecordsPerFile", records_per_file).text(path))
 
@@ -173,35 +179,40 @@ def archive_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
 
-def members(data: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """(start, length, content) of each gzip member that has content."""
+def members(data: memoryview, chunk: int = 16_384) -> Iterator[tuple[int, int, bytes]]:
+    """(start, length, content) of each gzip member that has content.
+
+    Fed in chunks, as what follows a member is copied out of the decompressor.
+    """
     at = 0
     while at < len(data):
-        inflate = zlib.decompressobj(wbits=31)
-        content = inflate.decompress(memoryview(data)[at:])
-        used = len(data) - at - len(inflate.unused_data)
-        if not inflate.eof:
-            raise ValueError("archive cut short")
-        if content:
-            yield at, used, content
+        inflate, fed, content = zlib.decompressobj(wbits=31), at, []
+        while not inflate.eof:
+            if fed >= len(data):
+                raise ValueError("archive cut short")
+            content.append(inflate.decompress(data[fed:fed + chunk]))
+            fed = min(fed + chunk, len(data))
+        used = fed - len(inflate.unused_data) - at
+        if any(content):
+            yield at, used, b"".join(content)
         at += used
 
 
-def captures(spark: SparkSession, path: str) -> DataFrame:
+def captures(spark: SparkSession, archives: str) -> DataFrame:
     """Scan archives once: key, record id and byte range of every record."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
+            for path, data in zip(batch["path"].to_pylist(), batch["content"]):
                 out: dict[str, list] = {name.split()[0]: [] for name in CAPTURE.split(", ")}
-                for start, length, content in members(batch["content"][k].as_buffer()):
+                for start, length, content in members(memoryview(data.as_buffer())):
                     row = from_record(content)
                     for name, value in zip(out, (url_key(row["url"]), record_id(row["page_id"]),
-                                                 batch["path"][k].as_py(), start, length)):
+                                                 path, start, length)):
                         out[name].append(value)
                 yield pa.RecordBatch.from_pydict(out)
 
-    return archive_files(spark, path).mapInArrow(run, CAPTURE)
+    return archive_files(spark, archives).mapInArrow(run, CAPTURE)
 
 
 def build_index(found: DataFrame, path: str, block_rows: int = 3000) -> DataFrame:
@@ -292,7 +303,7 @@ def read_ranges(spark: SparkSession, path: str, ranges: DataFrame) -> DataFrame:
     """RECORD rows of the byte ranges ``lookup`` gives, from the archives below ``path``.
 
     Files meet their ranges by an equi-join, which broadcasts the ranges if they are small;
-    each range is cut out of its file before anything is decompressed.
+    each range is cut out of its file, and nothing else is decompressed.
     """
     ranges = stage(ranges.groupBy("path").agg(
         F.collect_list(F.struct(F.col("start").cast("int").alias("start"),
@@ -301,14 +312,18 @@ def read_ranges(spark: SparkSession, path: str, ranges: DataFrame) -> DataFrame:
     size = ranges.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n * 8 + ranges.count() * 256
     files = sized_join(archive_files(spark, path), ranges.drop("n"), ["path"], size,
                        counted=ranges.select("path", F.lit(1).alias("n")))
-    cut = F.transform("ranges", lambda r: F.expr("content").substr(r["start"] + 1, r["length"]))
-    names = [c.split()[0] for c in RECORD.split(", ")]
+    schema = to_arrow_schema(StructType.fromDDL(RECORD))
 
-    def parsed(batch: pa.RecordBatch) -> dict:
-        rows = [from_record(gzip.decompress(m.as_buffer())) for m in batch["member"]]
-        return {name: [row[name] for row in rows] for name in names}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, places in zip(batch["content"], batch["ranges"]):
+                data = memoryview(data.as_buffer())
+                places = [(p["start"], p["start"] + p["length"]) for p in places.as_py()]
+                for k in range(0, len(places), READ_ROWS):
+                    rows = [from_record(gzip.decompress(data[a:b])) for a, b in places[k:k + READ_ROWS]]
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return in_arrow(files.select(F.explode(cut).alias("member")), parsed, RECORD)
+    return files.select("content", "ranges").mapInArrow(run, RECORD)
 
 
 def page_names(pages: DataFrame) -> DataFrame:
@@ -333,5 +348,5 @@ def round_trip(pages: DataFrame, least_bytes: int = 0, block_rows: int = 3000) -
     spark = pages.sparkSession
     archives, index_path = scratch_path(spark, "warc"), scratch_path(spark, "captures")
     write_archives(records(pages, least_bytes), archives)
-    index = build_index(captures(spark, archives), index_path, block_rows)
+    index = build_index(stage(captures(spark, archives), "found"), index_path, block_rows)
     return read_ranges(spark, archives, lookup(index, page_names(pages)))
