@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoalmark.llm import bpe, chat, kd_search, line_dedup, packing, quality, warc
+from shoalmark.llm import bpe, chat, kd_search, line_dedup, near_dup, packing, quality, warc
 from shoalmark.llm.common import table
 from shoalmark.session import configure
 
@@ -69,3 +69,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(documents).select(
         "doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
+@query
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "class_size")
