@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoalmark.llm import bpe, chat, kd_search, line_dedup, near_dup, packing, quality, warc
+from shoalmark.llm import bpe, chat, kd_search, line_dedup, lm, near_dup, packing, quality, warc
 from shoalmark.llm.common import table
 from shoalmark.session import configure
 
@@ -75,3 +75,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "class_id", "class_size")
+
+
+@query
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), folds=7, held_fold=2)
