@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoalmark.llm import bpe, chat, kd_search, line_dedup, lm, near_dup, packing, quality, warc
+from shoalmark.llm import bpe, chat, kd_search, language, line_dedup, lm, near_dup, packing, quality, warc
 from shoalmark.llm.common import table
 from shoalmark.session import configure
 
@@ -80,3 +80,9 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), folds=7, held_fold=2)
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return language.predict(documents, language.train(documents, folds=4, held_fold=2), folds=4, held_fold=2)
