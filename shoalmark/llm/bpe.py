@@ -28,19 +28,7 @@ WORD_END = "\n"  # stands for the word-end suffix; no byte is written like this
 KEPT_WORDS = 400_000
 KEPT_PAIRS = 2_000_000
 FOREVER = 1 << 30
-
-
-@functools.lru_cache(maxsize=1)
-def unassigned() -> regex.Pattern:
-    """Finds characters that this Python's Unicode tables do not have; others may."""
-    spans: list[list[int]] = []
-    for code in range(0x110000):
-        if unicodedata.category(chr(code)) == "Cn":
-            if spans and spans[-1][1] == code - 1:
-                spans[-1][1] = code
-            else:
-                spans.append([code, code])
-    return regex.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans) + r"\p{Cn}]")
+NEW_LETTER = regex.compile(r"\p{Cn}")
 
 
 class Pairs(dict):
@@ -90,7 +78,7 @@ class WordBpe(dict):
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.path, self.unassigned = path, unassigned()
+        self.path, self.known = path, set()
         model, vocab = spec["model"], spec["model"]["vocab"]
         suffix = model["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -193,11 +181,19 @@ class WordBpe(dict):
         Letters newer than this Python's tables are left to the tokenizer file's own rules.
         """
         if not text.isascii():
-            if self.unassigned.search(text):
+            if not self.knows(text):
                 return b"".join(map(self.__getitem__, self.library_words(text)))
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return b"".join(map(self.__getitem__, self.pieces.findall(text.lower())))
 
+    def knows(self, text: str) -> bool:
+        """Whether this Python's and the regex module's Unicode tables have all characters."""
+        new = set(text).difference(self.known)
+        if any(unicodedata.category(c) == "Cn" or NEW_LETTER.match(c) for c in new):
+            return False
+        self.known |= new
+        return True
+
     def library_words(self, text: str) -> list[str]:
         library = with_offsets(self.path)
         written = library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(text))
