@@ -1,16 +1,60 @@
-"""The corpus pipeline: documents through filters and near-duplicate removal into sequences."""
+"""The corpus pipeline: documents through filters and near-duplicate removal into sequences.
+
+Every stage works on all rows its predecessor kept. All but the last return the columns of
+documents as they came; n_chars follows a text that a stage changes.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoalmark.llm import packing, queries
-from shoalmark.session import stage
+from shoalmark.llm import language, line_dedup, near_dup, packing, quality, queries
+from shoalmark.session import configure, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Documents with a smaller expected share of words in one language are rejected.
+LEAST_LANGUAGE_SHARE = 0.5
+
+
+def with_text(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
+    """``docs`` with another column as text, and n_chars to match where there is one."""
+    docs = docs.withColumn("text", F.col(text))
+    if "n_chars" in columns:
+        docs = docs.withColumn("n_chars", F.length("text").cast("long"))
+    return docs.select(columns)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a letter and those no language has half the words of.
+
+    The model learns from the documents themselves, outside its held-out fold.
+    """
+    labeller = language.train(docs)
+    judged = language.mark(docs, labeller)
+    return judged.where((F.col("lang_pred") != language.UNDETERMINED)
+                        & (F.col("lang_share") >= LEAST_LANGUAGE_SHARE)).select(docs.columns)
+
+
+def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that fail the rules; the others lose the lines that failed."""
+    return with_text(quality.assess(docs).where("kept"), "clean_text", docs.columns)
+
+
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs are deleted. A document of which nothing is left,
+    because all of it is a copy, is gone."""
+    left = line_dedup.dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(line_dedup.WORD))
+    return with_text(left, "text", docs.columns)
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the one with the smallest id."""
+    return near_dup.keep_one(docs)
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a kept document, with its place in a sequence."""
@@ -18,15 +62,21 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("quality_rules", apply_quality_rules),
+    ("line_dedup", remove_repeated_lines),
+    ("near_dedup", remove_near_duplicates),
     ("best_fit_packing", pack),
 ]
 
-# Language prediction cannot be written in SQL; tests hold the stages against brute force.
+# Language prediction and packing cannot be written in SQL; tests hold each stage against
+# brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each result written before the next reads it."""
+    configure(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name)

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from shoalmark.llm.common import remainder, remainder_column
@@ -248,35 +249,49 @@ def train(documents: DataFrame, folds: int = 4, held_fold: int = 2) -> Labeller
     return fit(sample_lines(learn.where(fold.isNull() | (fold != held_fold))))
 
 
-def predict(documents: DataFrame, labeller: Labeller | None, extra: str = "", folds: int = 4,
-            held_fold: int = 2) -> DataFrame:
+def judged(labeller: Labeller | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """Language and share of each text; ``und`` and 0 for a text that is null or has no letter,
+    or for any text if nothing could be learned. Ties go to the first language by name."""
+    if labeller is None:
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    shares = labeller.shares([t or "" for t in texts])
+    total, top = shares.sum(axis=1), shares.argmax(axis=1)
+    best = [labeller.languages[t] if n > 0 else UNDETERMINED for t, n in zip(top, total)]
+    return best, np.minimum(1.0, shares.max(axis=1) / np.where(total > 0, total, 1.0))
+
+
+def predict(documents: DataFrame, labeller: Labeller | None, folds: int = 4, held_fold: int = 2) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every whole text, from the text alone.
 
-    ``score`` is the expected share of words in the predicted language; ties go to the first
-    language by name. A text that is null or has no letter, or any text if nothing could be
-    learned, is ``und`` with score 0. A null doc_id is not held out. Each row stands for
-    itself, so repeated rows get the same result; an empty table gives no rows. ``extra``
-    names one more long column to pass through.
+    ``score`` is the expected share of words in the predicted language; see ``judged`` for
+    texts without one. A null doc_id is not held out. Each row stands for itself, so repeated
+    rows get the same result; an empty table gives no rows.
     """
     shared = documents.sparkSession.sparkContext.broadcast(labeller)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = shared.value
         for batch in batches:
-            ids, texts = batch["doc_id"].to_pylist(), [t.as_py() or "" for t in batch["text"]]
-            if labels is None:
-                best, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-            else:
-                shares = labels.shares(texts)
-                total, top = shares.sum(axis=1), shares.argmax(axis=1)
-                best = [labels.languages[t] if n > 0 else UNDETERMINED for t, n in zip(top, total)]
-                score = np.minimum(1.0, shares.max(axis=1) / np.where(total > 0, total, 1.0))
-            columns = {"doc_id": batch["doc_id"], "held_out": [remainder(i, folds) == held_fold for i in ids],
-                       "lang_pred": pa.array(best, pa.string()), "score": pa.array(score, pa.float64())}
-            if extra:
-                columns[extra] = batch[extra]
-            yield pa.RecordBatch.from_pydict(columns)
-
-    doc_id = F.col("doc_id").cast("long").alias("doc_id")
-    columns = [doc_id, F.col("text").cast("string").alias("text"), *([extra] if extra else [])]
-    return documents.select(*columns).mapInArrow(run, PREDICTED + (f", {extra} long" if extra else ""))
+            best, score = judged(shared.value, batch["text"].to_pylist())
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch["doc_id"],
+                "held_out": [remainder(i, folds) == held_fold for i in batch["doc_id"].to_pylist()],
+                "lang_pred": pa.array(best, pa.string()), "score": pa.array(score, pa.float64())})
+
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PREDICTED)
+
+
+def mark(documents: DataFrame, labeller: Labeller | None) -> DataFrame:
+    """All columns of ``documents`` with lang_pred and lang_share, which replace columns of
+    those names. Rows, repeated ones too, keep their order and their columns."""
+    shared = documents.sparkSession.sparkContext.broadcast(labeller)
+    own = documents.drop("lang_pred", "lang_share")
+    schema = StructType([*own.schema.fields, StructField("lang_pred", StringType()), StructField("lang_share", DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best, share = judged(shared.value, batch["text"].to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(best, pa.string()), pa.array(share, pa.float64())],
+                names=[*batch.schema.names, "lang_pred", "lang_share"])
+
+    return own.mapInArrow(run, schema)
