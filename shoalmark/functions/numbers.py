@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DEFAULT_SEED = 42
+DEFAULT_SEED = 42  # fixed value
 
 
 def nan_to_null(value: Column) -> Column:
@@ -14,8 +14,11 @@ def nan_to_null(value: Column) -> Column:
 
 
 def seeded_hash(seed: int, tag: str, *keys: Column) -> Column:
-    """Hex digest of the seed, a tag and the row's keys, the same on every partitioning."""
-    parts = [F.lit(f"{seed}:{tag}")] + [k.cast("string") for k in keys]
+    """Hex digest of the seed, a tag and the row's keys, the same on every partitioning.
+
+    A NULL key counts as a value of its own, so ("a", NULL) and (NULL, "a") differ.
+    """
+    parts = [F.lit(f"{seed}:{tag}")] + [F.coalesce(k.cast("string"), F.lit("\0")) for k in keys]
     return F.md5(F.concat_ws(":", *parts))
 
 

@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 
 
 def event_timestamp(text: Column) -> Column:
-    """Timestamp in UTC of any ISO date or date-time; NULL for everything else."""
-    return F.try_to_timestamp(text)
+    """Timestamp in UTC of any ISO date or date-time; NULL for everything else.
+
+    A time of day alone is not a date: the text must begin with a four-digit year.
+    """
+    return F.try_to_timestamp(F.when(text.rlike(r"^\s*\d{4}"), text))
 
 
 def event_year(text: Column) -> Column:

@@ -19,11 +19,13 @@ def select_existing(df: DataFrame, wanted: Sequence[str] = OCCURRENCE_COLUMNS,
     return df.select([f"`{c}`" for c in [*keep, *wanted] if c in df.columns])
 
 
-def complete(required: Sequence[str] = REQUIRED) -> Column:
-    """True where every required column has a value."""
+def complete(df: DataFrame, required: Sequence[str] = REQUIRED) -> Column:
+    """True where every required column has a value; NaN is none, as in cleaning."""
     condition = F.lit(True)
     for name in required:
         condition = condition & F.col(name).isNotNull()
+        if df.schema[name].dataType.typeName() in ("double", "float"):
+            condition = condition & ~F.isnan(name)
     return condition
 
 
@@ -34,7 +36,7 @@ def clean_occurrences(raw: DataFrame) -> DataFrame:
 
 def cleaning_audit(raw: DataFrame, required: Sequence[str] = REQUIRED) -> DataFrame:
     """Rows before and after cleaning and rows removed, in one pass."""
-    before, after = F.count(F.lit(1)), F.count_if(complete(required))
+    before, after = F.count(F.lit(1)), F.count_if(complete(raw, required))
     return raw.agg(before.alias("rows_before"), after.alias("rows_after"),
                    (before - after).alias("rows_removed"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CLASS_NAMES = ("Absence", "Presence")
+CLASS_NAMES = ("Absence", "Presence")  # fixed value
 
 
 def _cells(pred: DataFrame) -> DataFrame:

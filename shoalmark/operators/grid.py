@@ -9,7 +9,7 @@ from shoalmark.functions.numbers import evenly_spaced
 from shoalmark.operators.profile import bounding_box
 
 GRID_STEPS = 200  # fixed value: lattice points along each axis
-BANDS = 20
+BANDS = 20  # fixed value
 
 
 def lattice(df: DataFrame, steps: int = GRID_STEPS) -> DataFrame:

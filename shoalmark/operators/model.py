@@ -18,9 +18,11 @@ from shoalmark.operators.split import LEAST_ROWS, assign_split
 from shoalmark.operators.training import COORDINATES, ENVIRONMENT
 from shoalmark.session import stage
 
-TREES = 100
+TREES = 100  # fixed value
 ROW_KEY = ("occ_id", "draw")
-DEEPEST, BOUNDED_DEPTH, DEEP_ROWS = 30, 15, 20_000
+# One depth at every size. A tree then has under 2**16 nodes, so the forest on the driver
+# does not grow with the rows.
+MAX_DEPTH = 15
 LEAST_TASKS = 8
 LEAST_ROWS_PER_TASK, MOST_ROWS_PER_TASK, MANY_TASKS = 20_000, 2_000_000, 1_000
 # Stands for a missing measurement: sorts after every real value, so that trees can part
@@ -37,12 +39,10 @@ def feature_columns(model: PipelineModel) -> list[str]:
 
 
 def fit_forest(training: DataFrame, features: Sequence[str], trees: int = TREES,
-               seed: int = DEFAULT_SEED, max_depth: int | None = None) -> PipelineModel:
+               seed: int = DEFAULT_SEED, max_depth: int = MAX_DEPTH) -> PipelineModel:
     """Fit on rows (features, ``presence``, row key).
 
-    Trees of few rows may grow as deep as Spark lets them. Fully grown trees have about as
-    many nodes as rows, and the driver holds them all, so with many rows the depth is kept
-    where the forest's size no longer depends on their number.
+    All settings of the forest are the same at every size of the data.
 
     The forest depends on how rows lie in partitions, so they are put by key hash into a
     number of partitions that only the row count sets, sorted within each, and staged.
@@ -52,8 +52,6 @@ def fit_forest(training: DataFrame, features: Sequence[str], trees: int = TREES,
     rows = _features_ready(training, features).select(*ROW_KEY, *features, "presence")
     rows = stage(rows, "forest-input")
     n = rows.count()
-    if max_depth is None:
-        max_depth = DEEPEST if n <= DEEP_ROWS else BOUNDED_DEPTH
     tasks = max(LEAST_TASKS, min(n // LEAST_ROWS_PER_TASK, MANY_TASKS), n // MOST_ROWS_PER_TASK)
     laid_out = rows.repartition(tasks, *ROW_KEY).sortWithinPartitions(*ROW_KEY)
     forest = RandomForestClassifier(
@@ -85,7 +83,8 @@ def train_and_test(training: DataFrame, with_environment: bool = True, trees: in
     With fewer than four rows everything is used for both, and only the coordinates are
     features.
     """
-    split = stage(assign_split(training, "presence", ROW_KEY, seed=seed), "split")
+    rows = stage(training, "training-rows")
+    split = stage(assign_split(rows, "presence", ROW_KEY, seed=seed), "split")
     features = list(COORDINATES)
     if with_environment and split.count() >= LEAST_ROWS:
         features += ENVIRONMENT
@@ -94,18 +93,25 @@ def train_and_test(training: DataFrame, with_environment: bool = True, trees: in
     return model, tested.withColumnRenamed("presence", "label")
 
 
+def surface_points(occurrences: DataFrame, index: OceanIndex, steps: int = GRID_STEPS) -> DataFrame:
+    """The lattice over the occurrences with the conditions of the nearest ocean row."""
+    points = lattice(occurrences, steps)
+    return attach_nearest(points, index).select(
+        *points.columns, F.col("hit.temperature_C").alias("temperature"),
+        F.col("hit.salinity_PSU").alias("salinity"))
+
+
 def prediction_surface(model: PipelineModel, occurrences: DataFrame,
                        index: OceanIndex | None = None, steps: int = GRID_STEPS) -> DataFrame:
     """Probability of presence at each point of a lattice over the occurrences.
 
     A model that needs temperature and salinity gets those of the nearest ocean row.
     """
-    points = lattice(occurrences, steps)
-    if set(ENVIRONMENT) & set(feature_columns(model)):
-        if index is None:
-            raise ValueError("the model needs temperature and salinity: give an ocean index")
-        points = attach_nearest(points, index).select(
-            *points.columns, F.col("hit.temperature_C").alias("temperature"),
-            F.col("hit.salinity_PSU").alias("salinity"))
+    if not set(ENVIRONMENT) & set(feature_columns(model)):
+        points = lattice(occurrences, steps)
+    elif index is None:
+        raise ValueError("the model needs temperature and salinity: give an ocean index")
+    else:
+        points = surface_points(occurrences, index, steps)
     return score(model, points).select(
         "cell_id", "i_lat", "i_lon", "decimalLatitude", "decimalLongitude", "p")

@@ -7,11 +7,12 @@ coordinates are cut by longitude into slices and each slice by latitude into nod
 them) has few enough for one row. Every node holds at most ``NODE_SIZE`` entries however
 dense the data are.
 
-A query point walks the tree by equi-joins on the node id, from the roots again for every
-level. Boxes are tight, so each one tells a distance within which it has a coordinate for
-sure; the least of these bounds the answer from above, and the next walk leaves out every
-box farther than the bound. The last walk goes on to the coordinates themselves. It cannot
-miss the nearest one, nor one at equal distance.
+A query point walks down the tree once, one equi-join on the node id per level. What it
+still has to look at, its frontier, is staged before each level. Boxes are tight, so each
+one tells a distance within which it has a coordinate for sure; the least of these bounds
+the answer from above, and boxes farther than the bound leave the frontier. The last step
+looks at the coordinates themselves. It cannot miss the nearest one, nor one at equal
+distance.
 """
 
 from __future__ import annotations
@@ -21,16 +22,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shoalmark.functions.geo import squared_distance
 from shoalmark.operators.joins import sized_join
-from shoalmark.session import stage
+from shoalmark.session import broadcast_budget, stage
 
 NODE_SIZE = 32
 ROWS_PER_TASK = 250_000
 LEAST_QUERIES_PER_TASK, MOST_QUERIES_PER_TASK = 5_000, 1_000_000
 # Sizes in a broadcast relation, rounded up: one node entry, one result row.
-ENTRY_BYTES, RESULT_BYTES = 96, 192
+ENTRY_BYTES, RESULT_BYTES, FIRST_BYTES, YEAR_BYTES = 96, 192, 64, 64
 
 # Scope of the coordinates of all years together; not a calendar year.
 ALL_YEARS = -1_000_000
@@ -56,16 +58,23 @@ def representatives(ocean: DataFrame) -> DataFrame:
     """First ocean row of each coordinate and year, in the order of the result's ``first`` column.
 
     Rows without a time come last; ties go to the smaller depth, temperature, salinity.
+
+    The ocean table is reduced to the first time of each coordinate and year by a hash
+    aggregate. Only the rows at that time, one unless there are ties, are put in order.
     """
+    keys = ["latitude", "longitude", "__scope"]
+    rows = ocean.na.drop(subset=["latitude", "longitude"]).select(
+        (F.col("latitude") + F.lit(0.0)).alias("latitude"), (F.col("longitude") + F.lit(0.0)).alias("longitude"),
+        "time", "depth", "temperature_C", "salinity_PSU",
+        F.coalesce(F.year("time"), F.lit(ALL_YEARS)).alias("__scope"))
+    first = stage(rows.groupBy(*keys).agg(F.min("time").alias("__first"), F.count(F.lit(1)).alias("n")), "first-times")
+    at_first = sized_join(rows, first.drop("n"), keys, first.count() * FIRST_BYTES, counted=first.select(*keys, "n")).where(
+        F.col("time").eqNullSafe(F.col("__first")))
     order = F.struct(
         F.col("time").isNull().alias("untimed"), F.col("time").alias("ocean_time"),
         "depth", "temperature_C", "salinity_PSU",
     )
-    return (
-        ocean.na.drop(subset=["latitude", "longitude"])
-        .groupBy("latitude", "longitude", F.year("time").alias("year"))
-        .agg(F.min(order).alias("first"))
-    )
+    return at_first.groupBy("latitude", "longitude", F.year("time").alias("year")).agg(F.min(order).alias("first"))
 
 
 def _numbered(rows: DataFrame, tasks: int, *order: str) -> DataFrame:
@@ -80,7 +89,7 @@ def _numbered(rows: DataFrame, tasks: int, *order: str) -> DataFrame:
     )
 
 
-def _packed(entries: DataFrame, sizes: DataFrame, rows: int, entry: Column) -> DataFrame:
+def _packed(entries: DataFrame, sizes: DataFrame, scopes: int, rows: int, entry: Column) -> DataFrame:
     """Group the entries of each scope into nodes of at most NODE_SIZE in compact boxes.
 
     A slice takes as many entries as make its nodes about as wide as high.
@@ -88,9 +97,9 @@ def _packed(entries: DataFrame, sizes: DataFrame, rows: int, entry: Column) -> D
     tasks = max(1, math.ceil(rows / ROWS_PER_TASK))
     slice_size = F.ceil(F.sqrt(F.col("n") / NODE_SIZE)) * NODE_SIZE
     position, here = F.col("position"), F.col("here")
+    numbered = _numbered(entries, tasks, "scope", "west", "south", "id")
     sliced = (
-        _numbered(entries, tasks, "scope", "west", "south", "id")
-        .join(F.broadcast(sizes), "scope")  # one row per calendar year at most
+        sized_join(numbered, sizes, ["scope"], scopes * YEAR_BYTES, counted=sizes)
         .withColumn("slice", position - here % slice_size)
         .drop("n", "position", "here")
     )
@@ -125,13 +134,13 @@ def build_index(ocean: DataFrame, by_year: bool = True) -> OceanIndex:
     tables: list[DataFrame] = []
     table_bytes: list[int] = []
     while True:
-        sizes = entries.groupBy("scope").agg(F.count(F.lit(1)).alias("n"))
-        total = sizes.agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+        sizes = stage(entries.groupBy("scope").agg(F.count(F.lit(1)).alias("n")), "scope-sizes")
+        total = sizes.agg(F.max("n").alias("most"), F.sum("n").alias("rows"), F.count(F.lit(1)).alias("scopes")).first()
         if total.most is None:
             raise ValueError("the ocean table has no row with coordinates")
         if tables and total.most <= NODE_SIZE:
             break
-        entries = stage(_packed(entries, sizes, total.rows, entry), "ocean-nodes")
+        entries = stage(_packed(entries, sizes, total.scopes, total.rows, entry), "ocean-nodes")
         tables.append(entries.select(F.col("id").alias("node"), "entries"))
         table_bytes.append(total.rows * ENTRY_BYTES)
         entry = F.struct(F.col("id").alias("node"), "south", "north", "west", "east")
@@ -170,22 +179,6 @@ def _surely_reached(lat: Column, lon: Column, box: Column) -> Column:
     return F.least(y_near * y_near + x_far * x_far, y_far * y_far + x_near * x_near)
 
 
-def _boxes_in_reach(queries: DataFrame, index: OceanIndex, steps: int) -> DataFrame:
-    """Boxes ``steps`` levels below the roots that each query still has to look at.
-
-    Rows have the query's KEYS, its ``bound`` and the ``box``. On the way down every box
-    farther than the bound is left out; at the last level all are given.
-    """
-    lat, lon = F.col("q_lat"), F.col("q_lon")
-    rows = sized_join(queries, index.roots, ["q_scope"], index.root_bytes).select(*KEYS, "bound", F.explode("entries").alias("box"))
-    for table, size in list(zip(index.levels, index.level_bytes))[:steps]:
-        near = rows.where(_least_possible(lat, lon, F.col("box")) <= F.col("bound"))
-        near = near.select(*KEYS, "bound", F.col("box.node").alias("node"))
-        rows = sized_join(near, table, ["node"], size).select(
-            *KEYS, "bound", F.explode("entries").alias("box"))
-    return rows
-
-
 def _walk_tasks(spark: SparkSession, rows: int) -> int:
     """Enough tasks to share out a few rows that each take long, and not too many for many rows."""
     most = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
@@ -200,32 +193,32 @@ def match(queries: DataFrame, index: OceanIndex) -> DataFrame:
     the smaller latitude, then longitude. The rows are spread over the tasks by their key,
     so that bringing together what one key found needs no further shuffle.
     """
-    lat, lon, bound, box = F.col("q_lat"), F.col("q_lon"), F.col("bound"), F.col("box")
+    lat, lon = F.col("q_lat"), F.col("q_lon")
     tasks = _walk_tasks(queries.sparkSession, queries.count())
-    depth = len(index.levels)
-    bounded = queries.select(*KEYS).repartition(tasks, *KEYS).withColumn(
-        "bound", F.lit(float("inf")))
-    for steps in range(depth + 1):
-        reached = _boxes_in_reach(bounded, index, steps).withColumn(
-            "reach", _surely_reached(lat, lon, box))
-        bounded = reached.groupBy(*KEYS).agg(
-            F.least(F.min("bound"), F.min("reach")).alias("bound"))
-
-    leaves = (
-        _boxes_in_reach(bounded, index, depth)
-        .where(_least_possible(lat, lon, box) <= bound)
-        .select(*KEYS, "bound", F.col("box.node").alias("node"))
-    )
-    candidates = (
-        sized_join(leaves, index.leaves, ["node"], index.leaf_bytes)
-        .select(*KEYS, "bound", F.explode("entries").alias("p"))
-        .withColumn("d2", squared_distance(lat, lon, F.col("p.lat"), F.col("p.lon")))
-        .where(F.col("d2") <= bound)
-    )
-    best = F.min(F.struct("d2", F.col("p.lat").alias("lat"), F.col("p.lon").alias("lon"),
-                          F.col("p.first").alias("first")))
+    of_query = Window.partitionBy(*KEYS)
+
+    def reach(box: Column) -> Column:
+        return _surely_reached(lat, lon, box)
+
+    frontier = queries.select(*KEYS, F.lit(float("inf")).alias("bound")).repartition(tasks, *KEYS)
+    rows = sized_join(frontier, index.roots, ["q_scope"], index.root_bytes)
+    for table, size in zip([*index.levels, index.leaves], [*index.level_bytes, index.leaf_bytes]):
+        least = F.array_min(F.transform("entries", reach))
+        boxes = rows.withColumn("bound", F.least("bound", F.min(least).over(of_query))).select(
+            *KEYS, "bound", F.explode("entries").alias("box"))
+        near = boxes.where(_least_possible(lat, lon, F.col("box")) <= F.col("bound"))
+        frontier = stage(near.select(*KEYS, "bound", F.col("box.node").alias("node")), "frontier")
+        rows = sized_join(frontier.repartition(tasks, *KEYS), table, ["node"], size)
+
+    def candidate(p: Column) -> Column:
+        return F.struct(squared_distance(lat, lon, p["lat"], p["lon"]).alias("d2"), p["lat"].alias("lat"),
+                        p["lon"].alias("lon"), p["first"].alias("first"))
+
+    # One candidate of each node is left before the nodes of a query come together.
+    nearest = rows.select(*KEYS, F.array_min(F.transform("entries", candidate)).alias("best"))
+    best = F.array_min(F.collect_list("best"))
     return (
-        candidates.groupBy(*KEYS).agg(best.alias("best"))
+        nearest.groupBy(*KEYS).agg(best.alias("best"))
         .select(*KEYS, F.struct(
             F.col("best.d2").alias("d2"),
             *[F.col(f"best.first.{c}").alias(c) for c in MATCHED]).alias("hit"))
@@ -240,11 +233,13 @@ def attach_nearest(points: DataFrame, index: OceanIndex, own_year: Column | None
     gets the overall nearest. Points without coordinates are dropped.
     """
     year = (F.lit(None) if own_year is None else own_year).cast("int")
+    years = index.years
+    if index.root_bytes <= broadcast_budget(points.sparkSession):
+        years = F.broadcast(years)
     scoped = (
         points.na.drop(subset=[lat, lon])
         .withColumn("q_year", year)
-        # One row per calendar year at most, whatever the size of the ocean table.
-        .join(F.broadcast(index.years), "q_year", "left")
+        .join(years, "q_year", "left")
         .withColumn("q_scope", F.coalesce("q_scope", F.lit(ALL_YEARS)))
         .drop("q_year")
         # Shuffle and join keys treat -0.0 as 0.0 and so must the lookup.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoalmark.functions.numbers import nan_to_null
 from shoalmark.functions.time import event_timestamp, event_year
 
 FIRST_YEAR_SHOWN = 1950  # fixed value: the chart starts after this year
@@ -24,16 +25,16 @@ def yearly_counts(df: DataFrame, after: int = FIRST_YEAR_SHOWN) -> DataFrame:
 
 
 def bounding_box(df: DataFrame) -> DataFrame:
-    """One row: the extremes of the coordinates over all species."""
-    lat, lon = "decimalLatitude", "decimalLongitude"
+    """One row: the extremes of the coordinates over all species, missing values left out."""
+    lat, lon = (nan_to_null(F.col(c)) for c in ("decimalLatitude", "decimalLongitude"))
     return df.agg(F.min(lat).alias("min_lat"), F.max(lat).alias("max_lat"),
                   F.min(lon).alias("min_lon"), F.max(lon).alias("max_lon"))
 
 
 def mean_environment(df: DataFrame) -> DataFrame:
     """One row: mean temperature and salinity, missing values left out."""
-    return df.agg(F.avg("temperature_C").alias("temperature"),
-                  F.avg("salinity_PSU").alias("salinity"))
+    return df.agg(F.avg(nan_to_null(F.col("temperature_C"))).alias("temperature"),
+                  F.avg(nan_to_null(F.col("salinity_PSU"))).alias("salinity"))
 
 
 def modal_species(df: DataFrame) -> DataFrame:

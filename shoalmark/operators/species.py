@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shoalmark.functions.text import normalised_name, species_key
 
 FEW_RECORDS = 10  # fixed value: fewer presences than this give a warning
-SUGGESTIONS = 5
+SUGGESTIONS = 5  # fixed value
 
 
 def spellings(df: DataFrame) -> DataFrame:
@@ -71,6 +71,11 @@ def record_status(n: Column) -> Column:
     return F.when(n == 0, "empty").when(n < FEW_RECORDS, "low").otherwise("ok")
 
 
+def few_or_none(n: int) -> str:
+    """The status of a count that the driver already has."""
+    return "empty" if n == 0 else "low" if n < FEW_RECORDS else "ok"
+
+
 def species_gate(df: DataFrame, names: DataFrame) -> DataFrame:
     """Records and status of each of ``names`` (column ``species``), exact spelling."""
     counted = (

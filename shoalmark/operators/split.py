@@ -11,10 +11,10 @@ from shoalmark.functions.numbers import DEFAULT_SEED, seeded_hash
 from shoalmark.operators.joins import sized_join
 from shoalmark.session import stage
 
-TEST_SHARE = 0.3
+TEST_SHARE = 0.3  # fixed value
 LEAST_ROWS = 4  # fixed value: with fewer rows, all are used for training and testing
 STRATUM_BYTES = 256
-BUCKET_DIGITS = 4  # 65,536 buckets of a stratum's hashes
+BUCKET_DIGITS = 5  # 1,048,576 buckets of a stratum's hashes
 
 
 def _test_counts(df: DataFrame, by: list[str], label: str, share: float) -> DataFrame:

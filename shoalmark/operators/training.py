@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from shoalmark.functions.numbers import DEFAULT_SEED, between, seeded_hash, seeded_uniform
 from shoalmark.operators.joins import sized_join
 from shoalmark.operators.profile import bounding_box, mean_environment
-from shoalmark.operators.species import canonical_spellings, species_records
+from shoalmark.operators.species import canonical_spellings, species_records, spellings
 from shoalmark.session import stage
 
-ABSENCE_RATIO = 1
+ABSENCE_RATIO = 1  # fixed value
 COORDINATES = ("decimalLatitude", "decimalLongitude")
 ENVIRONMENT = ("temperature", "salinity")
 SPELLING_BYTES = 256  # one species name with its keys in a broadcast relation
@@ -19,11 +19,13 @@ SPELLING_BYTES = 256  # one species name with its keys in a broadcast relation
 
 def pseudo_absences(presences: DataFrame, everything: DataFrame, ratio: int = ABSENCE_RATIO,
                     seed: int = DEFAULT_SEED) -> DataFrame:
-    """``ratio`` uniform random points per presence, in the box around ``everything``.
+    """``ratio`` uniform random points per presence (none for 0), in the box around ``everything``.
 
     Each point is drawn from the seed, the presence's id and its own number: the count is
     exact and the points do not depend on partitioning.
     """
+    if ratio < 0:
+        raise ValueError("the number of absences per presence cannot be negative")
     box = bounding_box(everything).select(F.struct("*")).scalar()
 
     def draw(tag: str, low: str, high: str):
@@ -31,7 +33,8 @@ def pseudo_absences(presences: DataFrame, everything: DataFrame, ratio: int = AB
                        F.col(f"box.{low}"), F.col(f"box.{high}"))
 
     return (
-        presences.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(ratio))))
+        presences.where(F.lit(ratio > 0))
+        .withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(max(ratio, 1)))))
         .withColumn("box", box)
         .withColumn("decimalLatitude", draw("lat", "min_lat", "max_lat"))
         .withColumn("decimalLongitude", draw("lon", "min_lon", "max_lon"))
@@ -72,9 +75,10 @@ def training_set(df: DataFrame, name: str, with_environment: bool = False,
 def training_sets(df: DataFrame, with_environment: bool = False,
                   ratio: int = ABSENCE_RATIO, seed: int = DEFAULT_SEED) -> DataFrame:
     """Training rows of every species at once, told apart by ``species``."""
-    canonical = stage(canonical_spellings(df).select("species", "n"), "spellings")
-    presences = sized_join(df, canonical.select("species"), ["species"],
-                           canonical.count() * SPELLING_BYTES, counted=canonical)
+    canonical = stage(canonical_spellings(df).select("species"), "spellings")
+    # All spellings are counted, as one that is not the first can be the heavy one.
+    presences = sized_join(df, canonical, ["species"], canonical.count() * SPELLING_BYTES,
+                           counted=spellings(df).select("species", "n"))
     return _stacked(presences, df, with_environment, ratio, seed)
 
 

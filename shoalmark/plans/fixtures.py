@@ -16,6 +16,7 @@ select event_id as occ_id, event_type as species,
   68e0 + 29e0 * ((event_id * 104729 + user_id * 31) % 10009) / 10009e0 as decimalLongitude,
   case when event_id % 11 = 0 then null when event_id % 13 = 0 then 'junk'
        when event_id % 17 = 0 then '1998-01-01/1998-01-31'
+       when event_id % 19 = 0 then '12:30' when event_id % 23 = 0 then 'T10:00'
        else cast(1994 + event_id % 10 as string) || substr(cast(ts as string), 5, 6) end as eventDate
 from events""",
     "occ_raw": """
@@ -26,15 +27,20 @@ select occ_id,
   case when occ_id % 31 = 0 then null else decimalLongitude end as decimalLongitude,
   eventDate
 from occ""",
+    "occ_nan": """
+select occ_id, species,
+  case when occ_id % 37 = 0 then cast('NaN' as double) else decimalLatitude end as decimalLatitude,
+  case when occ_id % 41 = 0 then cast('NaN' as double) else decimalLongitude end as decimalLongitude,
+  case when occ_id % 43 = 0 then cast('NaN' as double) else 18e0 + (occ_id * 13) % 170 end as temperature_C,
+  case when occ_id % 47 = 0 then null else 30e0 + (occ_id * 7) % 100 end as salinity_PSU
+from occ_raw""",
     "ocean": """
-select * from (
-  select o_orderkey as ocean_id, o_orderdate as time, 0.494e0 as depth,
-    8e0 + 0.25e0 * ((o_orderkey * 31) % 117) as latitude,
-    68e0 + 0.25e0 * ((o_custkey * 17 + o_orderkey) % 117) as longitude,
-    18e0 + o_totalprice / 50000e0 as temperature_C,
-    30e0 + (o_orderkey % 100) / 20e0 as salinity_PSU
-  from orders) t
-where latitude < 20e0""",
+select o_orderkey as ocean_id, o_orderdate as time, 0.494e0 as depth,
+  8e0 + 0.25e0 * ((o_orderkey * 31) % 48) as latitude,
+  68e0 + 0.25e0 * ((o_custkey * 17 + o_orderkey) % 117) as longitude,
+  18e0 + o_totalprice / 50000e0 as temperature_C,
+  30e0 + (o_orderkey % 100) / 20e0 as salinity_PSU
+from orders""",
     "taxa": """
 select l_orderkey * 8 + l_linenumber as line_key,
   case when l_orderkey % 19 = 0 then null else p_name end as species,
@@ -58,11 +64,11 @@ from embeddings""",
 
 # What each view reads: tables, and other views in the order they build on each other.
 _TABLES = {
-    "occ": ["events"], "occ_raw": ["events"], "fused": ["events"], "ocean": ["orders"],
+    "occ": ["events"], "occ_raw": ["events"], "occ_nan": ["events"], "fused": ["events"], "ocean": ["orders"],
     "taxa": ["lineitem", "part", "supplier", "nation", "region"],
     "pred": ["labels"], "grid_slices": ["embeddings"],
 }
-_NEEDS = {"occ_raw": ["occ"], "fused": ["occ", "occ_raw"]}
+_NEEDS = {"occ_raw": ["occ"], "fused": ["occ", "occ_raw"], "occ_nan": ["occ", "occ_raw"]}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -124,10 +124,15 @@ def _polygon() -> str:
                       + "\n + ".join(tests) + ") % 2 = 1")
 
 
+_ROLES = "with roles as (with " + _SPLIT.format(
+    t=f"({_training('click', True)})", by="", group="", label="presence", key="occ_id || ':' || draw") + ")"
+
 ORACLES: dict[str, str] = {
+    "landing_all": with_views("occ", """
+select row_number() over (order by occ_id) - 1 as occ_id, * exclude (occ_id) from occ"""),
     "landing_limit": with_views("occ", """
-select row_number() over (order by occ_id) - 1 as position, * from occ
-order by occ_id limit 30000"""),
+select row_number() over (order by occ_id) - 1 as occ_id, * exclude (occ_id) from occ
+order by 1 limit 750"""),
     "csv_roundtrip": with_views("occ_raw", "select * from occ_raw"),
     "ocean_by_year": with_views("ocean", """
 select year(time)::int as year, count(*) as n, min(temperature_C) as min_temperature,
@@ -248,6 +253,41 @@ order by n desc, species limit 20"""),
     "top_phyla": with_views("taxa", """
 select phylum, count(*) as n from taxa where phylum is not null group by phylum
 order by n desc, phylum limit 10"""),
+    "cleaning_audit_nan": with_views("occ_nan", """
+select count(*) as rows_before,
+  count(*) filter (where species is not null and not isnan(decimalLatitude) and not isnan(decimalLongitude)) as rows_after,
+  rows_before - rows_after as rows_removed from occ_nan"""),
+    "bounding_box_nan": with_views("occ_nan", """
+select min(decimalLatitude) filter (where not isnan(decimalLatitude)) as min_lat,
+  max(decimalLatitude) filter (where not isnan(decimalLatitude)) as max_lat,
+  min(decimalLongitude) filter (where not isnan(decimalLongitude)) as min_lon,
+  max(decimalLongitude) filter (where not isnan(decimalLongitude)) as max_lon from occ_nan"""),
+    "mean_environment_nan": with_views("occ_nan", """
+select round(avg(temperature_C) filter (where not isnan(temperature_C)), 9) as temperature,
+  round(avg(salinity_PSU) filter (where not isnan(salinity_PSU)), 9) as salinity from occ_nan"""),
+    "rf_test_rows": _ROLES + """
+select occ_id, draw, presence as label, true as p_in_range, true as prediction_follows
+from roles where role in ('test', 'both')""",
+    "rf_support": _ROLES + """
+select unnest(['Absence', 'Presence', 'accuracy', 'macro avg', 'weighted avg']) as name,
+  unnest([count(*) filter (where presence = 0), count(*) filter (where presence = 1), count(*), count(*), count(*)])
+    as support
+from roles where role in ('test', 'both')""",
+    "rf_reload_differences": _ROLES + """
+select count(*) as n, 0::bigint as n_different from roles where role in ('test', 'both')""",
+    "surface_cells": with_views("occ ocean", f""", {_BOX.format(t='occ')},
+cells as (select i_lat * 100 + i_lon as cell_id, min_lat + i_lat * (max_lat - min_lat) / 99e0 as la,
+    min_lon + i_lon * (max_lon - min_lon) / 99e0 as lo
+  from range(100) a(i_lat) cross join range(100) b(i_lon) cross join box),
+reps as (select * from ocean qualify row_number() over (
+  partition by latitude, longitude order by {_ORDER}) = 1),
+best as (select cell_id, min({{'d2': (la - latitude) * (la - latitude) + (lo - longitude) * (lo - longitude),
+    'la': latitude, 'lo': longitude, 't': temperature_C, 's': salinity_PSU}}) as hit
+  from cells cross join reps group by cell_id)
+select cell_id, hit.t as temperature, hit.s as salinity, true as p_in_range from best"""),
+    "overlay_points": with_views("occ_raw", """
+select occ_id, species, decimalLatitude, decimalLongitude from occ_raw where species = (
+  select species from occ_raw where species is not null group by species order by count(*) desc, species limit 1)"""),
     "occurrence_density": with_views("occ_raw", """
 select floor(decimalLatitude / 0.5e0)::bigint as i_lat, floor(decimalLongitude / 0.5e0)::bigint as i_lon,
   count(*) as n from occ_raw

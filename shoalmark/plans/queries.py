@@ -16,6 +16,7 @@ from shoalmark.operators.nearest import MATCHED, attach_nearest, build_index
 from shoalmark.operators.split import assign_split
 from shoalmark.operators.training import (
     pseudo_absences, shuffled, training_set, training_sets)
+from shoalmark.plans import pipelines
 from shoalmark.plans.fixtures import view
 from shoalmark.schemas import OCCURRENCE, OCEAN, OCEAN_WITH_YEAR
 from shoalmark.session import configure, scratch_path, stage
@@ -34,6 +35,7 @@ def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return function(configure(spark), sf_dir)
 
+    run.__wrapped__ = function
     QUERIES[function.__name__.removesuffix("_query")] = run
     return run
 
@@ -45,16 +47,25 @@ def ocean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources and sinks ---------------------------------------------------------------
 
 
-@query
-def landing_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed(spark: SparkSession, sf_dir: str, page_size: int) -> DataFrame:
+    """The ``occ`` view written as pages and landed again."""
     occ = view(spark, sf_dir, "occ")
-    offset = F.floor(F.col("occ_id") / landing.PAGE_SIZE) * landing.PAGE_SIZE
+    offset = F.floor(F.col("occ_id") / page_size) * page_size
     pages = occ.groupBy(offset.alias("offset")).agg(
         F.array_sort(F.collect_list(F.struct(*occ.columns))).alias("results"))
     path = scratch_path(spark, "pages")
     pages.write.json(path)
-    records = landing.landed_records(landing.read_pages(spark, path))
-    return records.select("position", *occ.columns)
+    return landing.landed_records(landing.read_pages(spark, path)).select(*occ.columns)
+
+
+@query
+def landing_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landed(spark, sf_dir, 1000)
+
+
+@query
+def landing_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.first_records(landed(spark, sf_dir, 100), 750)
 
 
 @query
@@ -62,7 +73,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     occ = view(spark, sf_dir, "occ_raw")
     path = scratch_path(spark, "csv")
     tables.write_csv(occ, path)
-    return tables.read_csv(spark, path, OCCURRENCE, multi_line=False).select(*occ.columns)
+    return tables.read_csv(spark, path, OCCURRENCE).select(*occ.columns)
 
 
 @query
@@ -70,7 +81,7 @@ def ocean_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ocean-csv")
     tables.with_year(ocean_rows(spark, sf_dir)).hint("rebalance", "year").write.option(
         "header", True).partitionBy("year").csv(path)
-    stacked = tables.read_csv(spark, f"{path}/year=*/*.csv", OCEAN, multi_line=False)
+    stacked = tables.read_csv(spark, f"{path}/year=*/*.csv", OCEAN)
     return stacked.groupBy(F.year("time").alias("year")).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("temperature_C").alias("min_temperature"),
@@ -343,6 +354,22 @@ def top_phyla(spark: SparkSession, sf_dir: str) -> DataFrame:
     return species.most_recorded(view(spark, sf_dir, "taxa"), 10, "phylum")
 
 
+@query
+def cleaning_audit_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.cleaning_audit(view(spark, sf_dir, "occ_nan"))
+
+
+@query
+def bounding_box_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.bounding_box(view(spark, sf_dir, "occ_nan"))
+
+
+@query
+def mean_environment_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    means = profile.mean_environment(view(spark, sf_dir, "occ_nan"))
+    return means.select(*(F.round(c, 9).alias(c) for c in means.columns))
+
+
 @query
 def occurrence_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.density(view(spark, sf_dir, "occ_raw"))
@@ -419,6 +446,41 @@ def rf_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
         before, ["occ_id", "draw"]).select("occ_id", "draw", "p", "p_reloaded")
 
 
+@query
+def rf_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, prediction = F.col("p"), F.col("prediction")
+    return trained(spark, sf_dir)[1].select(
+        "occ_id", "draw", "label", p.between(0, 1).alias("p_in_range"),
+        ((p == 0.5) | (prediction == (p > 0.5).cast("int"))).alias("prediction_follows"))
+
+
+@query
+def rf_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.classification_report(trained(spark, sf_dir)[1]).select("name", "support")
+
+
+@query
+def rf_reload_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rf_reload.__wrapped__(spark, sf_dir)
+    return rows.agg(F.count(F.lit(1)).alias("n"),
+                    F.count_if(~F.col("p").eqNullSafe(F.col("p_reloaded"))).alias("n_different"))
+
+
+@query
+def surface_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fitted, _ = trained(spark, sf_dir)
+    index = build_index(ocean_rows(spark, sf_dir), by_year=False)
+    points = model.surface_points(view(spark, sf_dir, "occ"), index, steps=100)
+    return model.score(fitted, points).select(
+        "cell_id", "temperature", "salinity", F.col("p").between(0, 1).alias("p_in_range"))
+
+
+@query
+def overlay_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    occ = view(spark, sf_dir, "occ_raw")
+    return pipelines.overlay(occ).select("occ_id", "species", *POINT)
+
+
 @query
 def prediction_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted, _ = trained(spark, sf_dir)

@@ -2,9 +2,11 @@
 
 from pyspark.sql import types as T
 
-TAXONOMY = ("scientificName", "phylum", "class", "order", "family", "genus")
-
-OCCURRENCE_COLUMNS = ("species", "decimalLatitude", "decimalLongitude", "eventDate", *TAXONOMY)
+# The columns a clean occurrence table has.
+OCCURRENCE_COLUMNS = (
+    "species", "decimalLatitude", "decimalLongitude", "eventDate", "scientificName", "phylum",
+    "class", "order", "family", "genus",
+)
 
 _DOUBLES = {"decimalLatitude", "decimalLongitude"}
 
@@ -29,8 +31,3 @@ OCEAN = T.StructType([
 ])
 
 OCEAN_WITH_YEAR = T.StructType(OCEAN.fields + [T.StructField("year", T.IntegerType())])
-
-REPORT = T.StructType([
-    T.StructField("metric", T.StringType()),
-    T.StructField("value", T.LongType()),
-])

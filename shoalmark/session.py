@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+_staged: list[str] = []  # folders this process has staged tables in
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -46,10 +47,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     sizes. Used where one result feeds several later steps.
     """
     path = scratch_path(df.sparkSession, label)
+    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_staged(spark: SparkSession) -> int:
+    """Delete the tables this process has staged so far and return how many there were.
+
+    Frames built on them can no longer be read; call it when their results are written.
+    """
+    jvm, count = spark._jvm, len(_staged)
+    while _staged:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
+
+
 def broadcast_budget(spark: SparkSession) -> int:
     """Bytes a broadcast side may take: ``spark.shoalmark.broadcastBytes`` if set."""
     return int(spark.conf.get("spark.shoalmark.broadcastBytes", str(DEFAULT_BROADCAST_BYTES)))

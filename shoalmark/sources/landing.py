@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoalmark.schemas import PAGE
 
-# Records to a page, and records kept in all (0 keeps everything).
+# Records to a page, and the number of records one study asked for.
 PAGE_SIZE = 10_000
 RECORD_LIMIT = 30_000
 
@@ -20,30 +20,33 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE).json(path)
 
 
-def landed_records(pages: DataFrame, page_size: int = PAGE_SIZE,
-                   limit: int = RECORD_LIMIT) -> DataFrame:
-    """Records of the pages up to where paging ends, in page order at most ``limit``.
+def landed_records(pages: DataFrame) -> DataFrame:
+    """All records of all landed pages, each with its place in the whole as ``occ_id``.
 
-    Paging starts at offset 0 and ends with the first page that is short (or empty), or
-    after which no page was landed. A record's place is its page's offset plus its place
-    in the page, so the limit is a plain filter and needs no sort.
+    The place is the page's offset plus the place in the page: unique and the same on every
+    run. An id the record itself has is not used. A page without an offset raises, as its
+    records have no place; ``page_gaps`` tells what has not landed.
     """
+    missing = F.raise_error(F.lit("a landed page has no offset")).cast("bigint")
+    placed = pages.select(F.coalesce("offset", missing).alias("offset"), "results")
+    own = [f"record.`{f.name}`" for f in pages.schema["results"].dataType.elementType if f.name != "occ_id"]
+    return placed.select("offset", F.posexplode("results").alias("place", "record")).select(
+        (F.col("offset") + F.col("place")).alias("occ_id"), *own)
+
+
+def page_gaps(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Where landing broke off: ``offset`` of each page that is not there, and of each page
+    before the last that is short. Empty if the pages follow each other from 0."""
     sizes = pages.select("offset", F.coalesce(F.size("results"), F.lit(0)).alias("n"))
-    followed = sizes.select((F.col("offset") - page_size).alias("offset"),
-                            F.lit(True).alias("followed")).distinct()
-    last = (
-        sizes.join(followed, "offset", "left")
-        .agg(
-            F.when(F.min("offset") == 0, F.min(F.when(
-                (F.col("n") < page_size) | F.col("followed").isNull(), F.col("offset")
-            ))).alias("last")
-        )
-    )
-    records = (
-        pages.where(F.col("offset") <= last.scalar())
-        .select("offset", F.posexplode("results").alias("place", "record"))
-        .withColumn("position", F.col("offset") + F.col("place"))
-    )
-    if limit > 0:
-        records = records.where(F.col("position") < limit)
-    return records.select("position", "record.*")
+    last = sizes.agg(F.max("offset"))
+    expected = sizes.select((F.col("offset") + page_size).alias("offset")).where(
+        F.col("offset") <= last.scalar()).unionByName(
+        sizes.agg(F.lit(0).cast("bigint").alias("offset"), F.count(F.lit(1)).alias("n")).where("n > 0").select("offset"))
+    absent = expected.distinct().join(sizes, "offset", "left_anti").select("offset", F.lit("missing").alias("problem"))
+    short = sizes.where((F.col("n") < page_size) & (F.col("offset") < last.scalar()))
+    return absent.unionByName(short.select("offset", F.lit("short").alias("problem")))
+
+
+def first_records(records: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` records landed first."""
+    return records.orderBy("occ_id").limit(limit)

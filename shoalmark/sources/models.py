@@ -15,8 +15,19 @@ def model_path(spark: SparkSession, base: str, species: str) -> str:
 
 
 def save_model(model: PipelineModel, spark: SparkSession, base: str, species: str) -> str:
+    """Save below the species' key, replacing its earlier model.
+
+    The folder also keeps the name; another name with the same key raises.
+    """
     path = model_path(spark, base, species)
+    named = f"{path}_name"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(named)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        owner = spark.read.text(named, wholetext=True).first()
+        if owner is not None and owner[0].rstrip("\n") != species:
+            raise ValueError(f"{path} holds the model of {owner[0].rstrip()!r}, not of {species!r}")
     model.write().overwrite().save(path)
+    spark.createDataFrame([(species,)], "value string").coalesce(1).write.mode("overwrite").text(named)
     return path
 
 

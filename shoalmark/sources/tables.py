@@ -2,39 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoalmark.functions.numbers import nan_to_null
 from shoalmark.functions.text import species_key
+from shoalmark.operators.species import key_collisions
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
-             multi_line: bool = True) -> DataFrame:
+             multi_line: bool = False) -> DataFrame:
     """Columns of ``schema`` from CSV with a header row; ``path`` may be a glob or a list.
 
     Columns are found by their header and cast; missing ones, unreadable values and NaN
-    become NULL. All files must have the same header, or the read fails.
+    become NULL. Files may have different headers: those with the same one are read
+    together, and the rows are stacked by column name.
 
     A file whose fields hold line breaks needs ``multi_line``, which reads each file in one
-    task; without such fields switch it off, so that large files are split.
+    task; otherwise large files are split.
     """
-    raw = (
-        spark.read.option("header", True).option("multiLine", multi_line)
-        .option("quote", '"').option("escape", '"').option("enforceSchema", False)
-        .csv(path)
-    )
-
-    def column(field: T.StructField):
-        if field.name not in raw.columns:
-            return F.lit(None).cast(field.dataType).alias(field.name)
-        value = F.col(f"`{field.name}`").try_cast(field.dataType)
-        if isinstance(field.dataType, T.DoubleType):
-            value = nan_to_null(value)
-        return value.alias(field.name)
-
-    return raw.select([column(f) for f in schema.fields])
+    parts = []
+    for files in files_by_header(spark, path):
+        raw = (
+            spark.read.option("header", True).option("multiLine", multi_line)
+            .option("quote", '"').option("escape", '"').option("enforceSchema", False)
+            .csv(files)
+        )
+        parts.append(raw.select([_column(raw, f) for f in schema.fields]))
+    return stack_tables(*parts) if parts else spark.createDataFrame([], schema)
+
+
+def _column(raw: DataFrame, field: T.StructField) -> Column:
+    if field.name not in raw.columns:
+        return F.lit(None).cast(field.dataType).alias(field.name)
+    value = F.col(f"`{field.name}`").try_cast(field.dataType)
+    if isinstance(field.dataType, T.DoubleType):
+        value = nan_to_null(value)
+    return value.alias(field.name)
+
+
+def files_by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """The files, those with the same first line together.
+
+    Reads the first block of each file; the first line is the one with the least row number
+    there. The driver holds a header and the names of its files, as a listing does.
+    """
+    first_block = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row")).where("start = 0")
+    headers = first_block.groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    grouped = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [[unquote(file) for file in row.files] for row in grouped.orderBy("header").collect()]
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -79,6 +100,14 @@ def years_to_fetch(requested: DataFrame, existing: DataFrame) -> DataFrame:
         existing.select("year").distinct(), "year", "left_anti")
 
 
+def landed_years(spark: SparkSession, path: str) -> list[int]:
+    """Years below ``path``, from the names of the folders; no row is read."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    names = [status.getPath().getName().removeprefix("year=") for status in found]
+    return sorted(int(name) for name in names if name.isdigit())
+
+
 def stack_tables(*tables: DataFrame) -> DataFrame:
     """Rows of all tables, columns matched by name, missing ones NULL."""
     stacked = tables[0]
@@ -88,7 +117,13 @@ def stack_tables(*tables: DataFrame) -> DataFrame:
 
 
 def write_by_species(df: DataFrame, path: str) -> None:
-    """One folder per species key, replaced where it exists; common species get several files."""
+    """One folder per species key, replaced where it exists; common species get several files.
+
+    Raises if two species share a key, as one would replace or mix with the other.
+    """
+    clashes = key_collisions(df).limit(5).collect()
+    if clashes:
+        raise ValueError(f"species with the same key: {', '.join(c.species_key for c in clashes)}")
     (
         df.withColumn("species_key", species_key(F.col("species")))
         .hint("rebalance", "species_key")

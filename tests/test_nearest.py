@@ -156,3 +156,15 @@ def test_fuse_keeps_duplicates_and_names_in_use(spark):
     got = fuse(occurrences, ocean)
     assert got.count() == 2
     assert rows(got.select("scope", "lat")) == [(5, 6.0), (5, 6.0)]
+
+
+@pytest.mark.parametrize("budget", ["0", str(1 << 26)])
+def test_a_deep_tree_equals_brute_force(spark, monkeypatch, budget):
+    monkeypatch.setattr(nearest, "NODE_SIZE", 4)
+    spark.conf.set("spark.shoalmark.broadcastBytes", budget)
+    try:
+        points, ocean = random_case(11, 400, 60)
+        assert len(build_index(ocean_frame(spark, ocean)).levels) >= 2
+        check(spark, points, ocean)
+    finally:
+        spark.conf.unset("spark.shoalmark.broadcastBytes")

@@ -18,7 +18,9 @@ def test_landed_files_to_map(spark):
     pages, clean_path, sea_path = (scratch_path(spark, n) for n in ("pages", "clean", "sea"))
     raw.groupBy((F.floor(F.col("occ_id") / 10_000) * 10_000).alias("offset")).agg(
         F.collect_list(F.struct(*raw.columns)).alias("results")).write.json(pages)
-    clean = pipelines.land_occurrences(spark, pages, clean_path)
+    landed = pipelines.land_occurrences(spark, pages, clean_path)
+    clean = landed["occurrences"]
+    assert landed["gaps"].count() == 0 and landed["audit"].first().rows_after == clean.count()
     assert clean.count() == view(spark, DATA, "fused").count()
     assert clean.columns[:3] == ["occ_id", "species", "decimalLatitude"]
 
@@ -44,6 +46,34 @@ def test_landed_files_to_map(spark):
     assert maps["points"].select("species").distinct().count() == 1
 
 
+def test_gates(spark):
+    empty = scratch_path(spark, "pages")
+    spark.createDataFrame([(0, [(None, None, None)])], "offset long, results array<struct<"
+                          "species: string, decimalLatitude: double, decimalLongitude: double>>").write.json(empty)
+    with pytest.raises(ValueError, match="no record"):
+        pipelines.land_occurrences(spark, empty, scratch_path(spark, "clean"))
+    fused = view(spark, DATA, "fused")
+    with pytest.raises(ValueError, match="most recorded are"):
+        pipelines.model_species(fused, "no such", scratch_path(spark, "models"))
+    few = fused.where("species = 'click'").limit(3)
+    with pytest.warns(UserWarning, match="only 3 records"):
+        pipelines.prepare_species(few, "click", scratch_path(spark, "training"))
+
+
+def test_all_species_and_a_limit(spark):
+    fused = view(spark, DATA, "fused").withColumn("species", F.lower(F.trim("species")))
+    path = scratch_path(spark, "all")
+    gate = pipelines.prepare_all(fused, path, with_environment=False)
+    assert {r.status for r in gate.collect()} == {"ok"}
+    assert spark.read.parquet(path).count() == 2 * fused.count()
+    pages = scratch_path(spark, "pages")
+    raw = view(spark, DATA, "occ_raw")
+    raw.groupBy((F.floor(F.col("occ_id") / 100) * 100).alias("offset")).agg(
+        F.array_sort(F.collect_list(F.struct(*raw.columns))).alias("results")).write.json(pages)
+    landed = pipelines.land_occurrences(spark, pages, scratch_path(spark, "clean"), limit=50)
+    assert landed["audit"].first().rows_before == 50
+
+
 def context(master):
     made = []
     return SimpleNamespace(

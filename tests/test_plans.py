@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from conftest import DATA
-from shoalmark.operators import cleaning, ocean, profile
+from shoalmark.operators import cleaning, nearest, ocean, profile
 from shoalmark.operators.fusion import fuse
+from shoalmark.operators.joins import hot_keys
 from shoalmark.operators.nearest import build_index
-from shoalmark.operators.training import training_set
+from shoalmark.operators.species import spellings
+from shoalmark.operators.training import training_set, training_sets
 from shoalmark.plans.fixtures import view
 from shoalmark.session import stage
 
@@ -47,11 +49,31 @@ def test_training_set_has_no_cross_join(spark):
 def test_the_walk_shuffles_once_when_the_tree_is_small(spark):
     occ = view(spark, DATA, "occ")
     index = build_index(view(spark, DATA, "ocean").drop("ocean_id"))
-    text = plan(fuse(occ, index))
+    fused = fuse(occ, index)
+    text = plan(fused)
     assert text.count(" Exchange ") == 1
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_no_sort_aggregate_over_raw_ocean_rows_or_candidates(spark):
+    text = plan(nearest.representatives(view(spark, DATA, "ocean").drop("ocean_id")))
+    below = text[text.rindex("SortAggregate"):]
+    assert "BroadcastHashJoin" in below  # only the rows of the first time are ordered
+    index = build_index(view(spark, DATA, "ocean").drop("ocean_id"))
+    queries = spark.createDataFrame([(9.0, 70.0, nearest.ALL_YEARS)], "q_lat double, q_lon double, q_scope int")
+    assert "SortAggregate" not in plan(nearest.match(queries, index))
+
+
+def test_a_heavy_spelling_that_is_not_the_first_is_salted(spark, no_broadcast):
+    rows = spark.range(4000).select(
+        F.col("id").alias("occ_id"), F.when(F.col("id") == 0, "click").otherwise("CLICK").alias("species"),
+        F.lit(1.0).alias("decimalLatitude"), F.lit(1.0).alias("decimalLongitude"))
+    parts = hot_keys(spellings(rows).select("species", "n"), ["species"]).collect()
+    assert {r.species for r in parts} == {"CLICK"} and parts[0]["__parts"] > 1
+    sets = training_sets(rows)
+    assert "__salt" in plan(sets) and sets.count() == 2
+
+
 def test_beyond_the_budget_hot_keys_are_salted(spark, no_broadcast):
     occ = view(spark, DATA, "occ").withColumn("decimalLatitude", F.lit(10.0)).withColumn(
         "decimalLongitude", F.lit(70.0))

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA, rows
+from shoalmark.functions.numbers import seeded_hash
 from shoalmark.operators import model
 from shoalmark.operators.nearest import build_index
 from shoalmark.operators.split import assign_split
@@ -130,3 +131,27 @@ def test_pipelines_from_training_to_map(spark, fused):
 
 def test_model_folder_by_species(spark):
     assert model_path(spark, "/base", "A. b") == "/base/A_b/random_forest_model"
+
+
+def test_forest_settings_do_not_depend_on_the_number_of_rows(spark):
+    def depth(n):
+        rows = spark.range(n).selectExpr(
+            "id as occ_id", "0 as draw", "cast(id % 7 as double) as decimalLatitude",
+            "cast(id % 11 as double) as decimalLongitude", "cast(id % 2 as int) as presence")
+        forest = model.fit_forest(rows, ["decimalLatitude", "decimalLongitude"], trees=1).stages[-1]
+        return {p.name: v for p, v in forest.extractParamMap().items()}
+
+    assert depth(19_999) == depth(20_001)
+
+
+def test_no_and_negative_absences(spark):
+    rows = spark.createDataFrame([(1, 1.0, 2.0)], "occ_id long, decimalLatitude double, decimalLongitude double")
+    assert pseudo_absences(rows, rows, ratio=0).count() == 0
+    assert pseudo_absences(rows, rows, ratio=3).count() == 3
+    with pytest.raises(ValueError):
+        pseudo_absences(rows, rows, ratio=-1)
+
+
+def test_null_keys_are_told_apart(spark):
+    rows = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    assert rows.select(seeded_hash(1, "t", F.col("x"), F.col("y"))).distinct().count() == 2
