@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoalmark.llm import language, line_dedup, near_dup, packing, quality, queries
+from shoalmark.llm.common import ship_package
 from shoalmark.session import configure, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# Documents with a smaller expected share of words in one language are rejected.
-LEAST_LANGUAGE_SHARE = 0.5
+# Documents no language has this share of the words of are rejected.
+LEAST_LANGUAGE_SHARE = 0.4
 
 
 def with_text(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
@@ -29,7 +30,7 @@ def with_text(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter and those no language has half the words of.
+    """Rejects documents without a letter and those without a main language.
 
     The model learns from the documents themselves, outside its held-out fold.
     """
@@ -61,12 +62,22 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, queries.BYTE_BPE)
 
 
+def on_workers(function: Stage) -> Stage:
+    """A stage whose workers have the package."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(configure(spark))
+        return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("language_id", identify_language),
-    ("quality_rules", apply_quality_rules),
-    ("line_dedup", remove_repeated_lines),
-    ("near_dedup", remove_near_duplicates),
-    ("best_fit_packing", pack),
+    ("language_id", on_workers(identify_language)),
+    ("quality_rules", on_workers(apply_quality_rules)),
+    ("line_dedup", on_workers(remove_repeated_lines)),
+    ("near_dedup", on_workers(remove_near_duplicates)),
+    ("best_fit_packing", on_workers(pack)),
 ]
 
 # Language prediction and packing cannot be written in SQL; tests hold each stage against
@@ -76,7 +87,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each result written before the next reads it."""
-    configure(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import xxhash
@@ -16,6 +19,26 @@ from shoalmark.session import broadcast_budget
 SPACE_CLASS = "[\\x20\\x09-\\x0D]+"
 
 
+_shipped: set[str] = set()  # applications whose workers have the package
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the Python workers, which import what tasks call.
+
+    Spark hands the archive to the executors itself, so it may lie on the driver alone.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoalmark.llm import bpe, chat, kd_search, language, line_dedup, lm, near_dup, packing, quality, warc
-from shoalmark.llm.common import table
+from shoalmark.llm.common import ship_package, table
 from shoalmark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,7 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
         return function(configure(spark), sf_dir)
 
     QUERIES[function.__name__] = run
