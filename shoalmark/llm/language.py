@@ -229,10 +229,17 @@ def fit(lines: list[tuple[str, str]]) -> Labeller | None:
 
 
 def sample_lines(documents: DataFrame) -> list[tuple[str, str]]:
-    """(line, lang) of a bounded sample: lines of documents chosen by a hash, for each language."""
-    chosen = F.xxhash64("text", "doc_id")
-    docs = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn(
-        "__rank", F.row_number().over(Window.partitionBy("lang").orderBy(chosen, "text"))) \
+    """(line, lang) of a bounded sample: lines of documents chosen by a hash, for each language.
+
+    Documents are counted first, so that about one and a half times the sample leaves the
+    scan, whatever the size of the table.
+    """
+    labelled = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))  # a row per language
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    drawn = labelled.join(F.broadcast(counts), "lang").withColumn("__draw", draw).where(
+        F.col("__draw") * F.col("__n") < 1.5 * SAMPLE_DOCUMENTS)
+    docs = drawn.withColumn("__rank", F.row_number().over(Window.partitionBy("lang").orderBy("__draw", "text"))) \
         .where(F.col("__rank") <= SAMPLE_DOCUMENTS)
     lines = docs.select("lang", F.explode(F.split("text", "\n", -1)).alias("line")).select(
         "lang", F.substring("line", 1, SAMPLE_CHARS).alias("line")).where(F.col("line").rlike(r"\p{L}"))
