@@ -35,6 +35,7 @@ BINS = 256
 # 0.025 or less, so this lies four deviations below.
 LEAST_ESTIMATE = 0.7
 BLOCK_ROWS = 2000
+SIDE = ("size", "signature")  # what a comparison needs of a document besides its key
 ROW_BYTES = 48
 
 PROFILE = ("doc_id long, key long, exact binary, n_shingles int, sketches array<long>, signature binary")
@@ -202,8 +203,9 @@ def components(edges: DataFrame) -> DataFrame:
             joined.select(F.col("m").alias("u"), F.col("u").alias("v")).where("u <> v")).distinct(), "small-star")
 
 
-def estimated_pairs(pairs: DataFrame) -> DataFrame:
-    """(u, v) of candidate rows whose sizes and signatures allow the similarity."""
+def estimated_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose sizes and signatures allow the similarity."""
+    side = lambda c: nodes.select(F.col("key").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in SIDE))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +217,8 @@ def estimated_pairs(pairs: DataFrame) -> DataFrame:
                 batch["u_size"].to_numpy(), batch["v_size"].to_numpy())
             yield batch.select(["u", "v"]).filter(pa.array(good))
 
-    return pairs.select("u", "v", "u_size", "v_size", "u_signature", "v_signature").mapInArrow(run, "u long, v long")
+    joined = pairs.join(side("u"), "u").join(side("v"), "v")
+    return joined.select("u", "v", "u_size", "v_size", "u_signature", "v_signature").mapInArrow(run, "u long, v long")
 
 
 def verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
@@ -243,34 +246,37 @@ def _budget(df: DataFrame) -> int:
     return broadcast_budget(df.sparkSession)
 
 
+def bucket_members(nodes: DataFrame) -> DataFrame:
+    """(key, bucket, n) of every sketch that n > 1 nodes share."""
+    members = stage(nodes.select("key", F.explode("sketches").alias("bucket")), "members")
+    sizes = stage(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+    return stage(left_join_sized(members, sizes, ["bucket"], sizes.count() * 16).where("n is not null"), "shared")
+
+
 def pivot_pairs(members: DataFrame) -> DataFrame:
     """Each bucket member with the bucket's pivot: the member that shares the most sketches."""
-    sized = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stage(members.join(sized, "bucket"), "shared")
-    weight = shared.groupBy("key").agg(F.sum("n").alias("weight"))
-    weighed = shared.join(weight, "key")
-    pivot = weighed.groupBy("bucket").agg(F.max_by(
-        F.struct(F.col("key").alias("v"), F.col("size").alias("v_size"), F.col("signature").alias("v_signature")),
-        F.struct("weight", -F.col("key"))).alias("p"))
-    return shared.join(pivot, "bucket").select(
-        F.col("key").alias("u"), F.col("size").alias("u_size"), F.col("signature").alias("u_signature"), "p.*") \
-        .where("u <> v").dropDuplicates(["u", "v"])
-
-
-def cross_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
+    weight = members.groupBy("key").agg(F.sum("n").alias("weight"))
+    pivot = members.join(weight, "key").groupBy("bucket").agg(
+        F.max(F.struct("weight", F.col("key").alias("v"))).alias("p")).select("bucket", "p.v")
+    return members.join(pivot, "bucket").where("key <> v").select(F.col("key").alias("u"), "v").distinct()
+
+
+def cross_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of bucket members in different components that their signatures allow.
 
     A bucket of many members is cut into blocks, and each task compares two blocks.
     """
     rooted = left_join_sized(members, roots.withColumnRenamed("node", "key"), ["key"], roots.count() * 24)
     rooted = stage(rooted.withColumn("root", F.coalesce("root", "key")), "rooted")
-    split = rooted.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
-    parted = rooted.join(split.select("bucket", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")), "bucket")
-    blocked = parted.withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", "key", "size", "signature", "root", "block",
+    split = stage(rooted.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+                  .where("a <> b").select("bucket", F.lit(True).alias("split")), "split")
+    parted = left_join_sized(rooted, split, ["bucket"], split.count() * 16).where("split")
+    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
+    blocked = parted.withColumn("block", F.pmod(F.xxhash64("key"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "bucket", "key", "root", "block",
         F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    blocked = blocked.join(nodes.select("key", *SIDE), "key")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         sigs = np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(-1, BINS)
@@ -300,22 +306,18 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     Candidates come from sketches: a pair at 0.8 has a chance of about 1e-6 to share none.
     """
     profile = stage(profiles(documents), "profiles")
-    worded = profile.where(F.col("exact").isNotNull())
-    copies = stage(worded.groupBy("exact").agg(
-        F.min(F.struct("key", "n_shingles", "sketches", "signature")).alias("x")), "copies")
-    node = copies.select("x.*")
-    members = stage(node.where("n_shingles > 0").select(
-        "key", F.col("n_shingles").alias("size"), "signature", F.explode("sketches").alias("bucket"))
-        .dropDuplicates(["key", "bucket"]), "members")
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = stage(members.join(shared, "bucket", "left_semi"), "members")
-
-    first = stage(verified(estimated_pairs(pivot_pairs(members)), documents), "links")
-    second = verified(cross_pairs(members, components(first)), documents)
+    copies = stage(profile.where(F.col("exact").isNotNull()).groupBy("exact").agg(F.min("key").alias("key")), "copies")
+    # A key that rows repeat has one profile, so the first of them will do.
+    nodes = stage(profile.where("n_shingles > 0").join(copies.select("key"), "key", "left_semi").groupBy("key").agg(
+        F.first("n_shingles").alias("size"), F.first("signature").alias("signature"),
+        F.first("sketches").alias("sketches")), "nodes")
+    members = bucket_members(nodes)
+
+    first = stage(verified(estimated_pairs(pivot_pairs(members), nodes), documents), "links")
+    second = verified(cross_pairs(members, components(first), nodes), documents)
     roots = components(first.unionByName(second))
 
-    exact = copies.select("exact", F.col("x.key").alias("key"))
-    exact = stage(left_join_sized(exact, roots.withColumnRenamed("node", "key"), ["key"], roots.count() * 24)
+    exact = stage(left_join_sized(copies, roots.withColumnRenamed("node", "key"), ["key"], roots.count() * 24)
                   .select("exact", F.coalesce("root", "key").alias("root")), "roots")
     rows = left_join_sized(profile.select("doc_id", "key", "exact"), exact, ["exact"], exact.count() * ROW_BYTES)
     rows = stage(rows.select("doc_id", "key", F.coalesce("root", "key").alias("root"), F.col("exact").isNull().alias("__alone")),
