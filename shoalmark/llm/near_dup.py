@@ -30,10 +30,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 20
 MINIMA = 3
-BINS = 256
-# Least estimate from two signatures. At a similarity of 0.8 the estimate's deviation is
-# 0.025 or less, so this lies four deviations below.
-LEAST_ESTIMATE = 0.7
+SIGNATURE_BITS = 4096
+DEVIATIONS = 4  # a pair that is similar enough fails the signature test about once in 30,000
 BLOCK_ROWS = 2000
 SIDE = ("size", "signature")  # what a comparison needs of a document besides its key
 ROW_BYTES = 48
@@ -91,18 +89,29 @@ def order_sketches(shingles: np.ndarray) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> bytes:
-    """The smallest labelled shingle of each of ``BINS`` bins in one byte; 0 for an empty bin."""
-    h = np.sort(mixed(labelled(shingles)))
-    bins = (h >> np.uint64(56)).astype(np.int64)
-    first = np.concatenate([[True], bins[1:] != bins[:-1]])
-    out = np.zeros(BINS, dtype=np.uint8)
-    out[bins[first]] = (h[first] % np.uint64(255) + np.uint64(1)).astype(np.uint8)
-    return out.tobytes()
+    """An odd sketch: a bit per hash value, flipped by each labelled shingle.
 
+    The exclusive or of two sketches is the sketch of the shingles that only one text has.
+    """
+    at = (mixed(labelled(shingles)) >> np.uint64(64 - SIGNATURE_BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=SIGNATURE_BITS) & 1).tobytes()
+
+
+def signature_words(signatures: Sequence[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures), np.uint64).reshape(-1, SIGNATURE_BITS // 64)
 
-def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated similarity of signature ``a`` and each row of ``b``."""
-    return ((a == b) & (b > 0)).sum(axis=-1) / np.maximum(1, ((a > 0) | (b > 0)).sum(axis=-1))
+
+def close(a: np.ndarray, b: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Whether signatures ``a`` and ``b`` allow the similarity of texts with ``total`` shingles.
+
+    At the similarity wanted at most d shingles differ. d balls in m bins leave
+    m/2 (1 - exp(-2d/m)) odd bins on average; the test allows DEVIATIONS more than that.
+    Long texts fill their sketch, and then the test lets everything pass.
+    """
+    m, d = SIGNATURE_BITS, total * (1 - SIMILARITY) / (1 + SIMILARITY)
+    mean = m / 2 * (1 - np.exp(-2 * d / m))
+    variance = np.maximum(0, m / 4 * (1 - np.exp(-4 * d / m)) - d * np.exp(-4 * d / m))
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64) <= mean + DEVIATIONS * np.sqrt(variance) + 1
 
 
 def in_size(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -211,10 +220,9 @@ def estimated_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(-1, BINS)
-                    for c in ("u_signature", "v_signature"))
-            good = (estimates(a, b) >= LEAST_ESTIMATE) & in_size(
-                batch["u_size"].to_numpy(), batch["v_size"].to_numpy())
+            a, b = (signature_words(batch[c].to_pylist()) for c in ("u_signature", "v_signature"))
+            u, v = (batch[c].to_numpy() for c in ("u_size", "v_size"))
+            good = in_size(u, v) & close(a, b, u + v)
             yield batch.select(["u", "v"]).filter(pa.array(good))
 
     joined = pairs.join(side("u"), "u").join(side("v"), "v")
@@ -279,14 +287,14 @@ def cross_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataF
     blocked = blocked.join(nodes.select("key", *SIDE), "key")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        sigs = np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(-1, BINS)
+        sigs = signature_words(rows["signature"])
         key, size, root, block = (rows[c].to_numpy() for c in ("key", "size", "root", "block"))
         same_block = rows["low"].iloc[0] == rows["high"].iloc[0]
         out = []
         for i in range(len(rows)):
             at = np.flatnonzero((key > key[i]) & (root != root[i]) & in_size(size, size[i])
                                 & (same_block | (block != block[i])))
-            good = at[estimates(sigs[i], sigs[at]) >= LEAST_ESTIMATE]
+            good = at[close(sigs[i], sigs[at], size[i] + size[at])]
             out += [(key[i], key[j]) for j in good]
         return pd.DataFrame(out, columns=["u", "v"])
 

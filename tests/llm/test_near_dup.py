@@ -153,5 +153,20 @@ def test_order_matters():
     swapped = tokens[150:] + tokens[:150]
     a, b = (near_dup.order_sketches(near_dup.shingle_hashes(t)) for t in (tokens, swapped))
     assert (a == b).sum() < 10
-    one, two = (np.frombuffer(near_dup.signature(near_dup.shingle_hashes(t)), np.uint8) for t in (tokens, swapped))
-    assert near_dup.estimates(one, two[None])[0] > 0.9
+
+
+def test_signatures_pass_what_is_similar_and_little_else():
+    rng = random.Random(9)
+    for n in (6, 40, 300, 3000):
+        kept = {True: [], False: []}
+        for edits in range(0, max(2, n // 12)):
+            a = [f"w{rng.random()}".encode() for _ in range(n)]
+            b = [x.encode() for x in edited(rng, [x.decode() for x in a], edits)]
+            sa, sb = near_dup.shingle_hashes(a), near_dup.shingle_hashes(b)
+            if len(sa) and len(sb):
+                words_of = near_dup.signature_words([near_dup.signature(sa), near_dup.signature(sb)])
+                passes = near_dup.close(words_of[0], words_of[1:], np.array([len(sa) + len(sb)]))[0]
+                shared = len(set(sa.tolist()) & set(sb.tolist()))
+                kept[near_dup.similar(a, b)].append((passes, shared / (len(sa) + len(sb) - shared)))
+        assert all(p for p, _ in kept[True])
+        assert not any(p for p, j in kept[False] if j < 0.72)
