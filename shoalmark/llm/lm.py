@@ -284,19 +284,37 @@ def train(docs: DataFrame, filter_bits: int = FILTER_BITS, known_words: int = KN
     frequent = LEVELS
     while frequent > 0 and histogram[UNIGRAM][frequent:].sum() <= known_words:
         frequent -= 1
-    known = word_counts(grams).where(F.col("level") > frequent).select("word", "n").toPandas()
-    order = np.argsort(known["word"].to_numpy().view(np.uint64)) if len(known) else []
+    known, known_counts = frequent_words(grams, frequent)
     sums = word_counts(grams).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     least = least_levels(histogram, filter_bits)
     model = Model(build_filter(grams, least, parts_bits, filter_bits), parts_bits, filter_bits, least, int(sums),
-                  int(histogram[UNIGRAM].sum()), known["word"].to_numpy(dtype=np.int64).view(np.uint64)[order],
-                  known["n"].to_numpy(dtype=np.int64)[order], np.full(LEVELS + 1, WEIGHTS[0]))
+                  int(histogram[UNIGRAM].sum()), known, known_counts, np.full(LEVELS + 1, WEIGHTS[0]))
     first = spark.sparkContext.broadcast(model)
     model.weights = fit_weights(docs, first)
     first.unpersist()
     return spark.sparkContext.broadcast(model), grams
 
 
+def frequent_words(grams: DataFrame, above: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and counts of the words above a level, gathered as one block per part."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for hashes, counts in zip(batch["hashes"].to_pylist(), batch["counts"].to_pylist()):
+                n = np.frombuffer(counts, "<i8")
+                good = levels_of(n) > above
+                yield pa.RecordBatch.from_pydict({
+                    "hashes": pa.array([np.frombuffer(hashes, "<u8")[good].tobytes()], pa.binary()),
+                    "counts": pa.array([n[good].tobytes()], pa.binary())})
+
+    blocks = grams.where(F.col("kind") == UNIGRAM).select("hashes", "counts").mapInArrow(
+        rows, "hashes binary, counts binary").collect()
+    hashes = np.frombuffer(b"".join(b.hashes for b in blocks), "<u8")
+    counts = np.frombuffer(b"".join(b.counts for b in blocks), "<i8")
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
+
+
 def word_counts(grams: DataFrame) -> DataFrame:
     """(word hash, n, level), a row per distinct word."""
 
