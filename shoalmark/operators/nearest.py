@@ -134,7 +134,7 @@ def build_index(ocean: DataFrame, by_year: bool = True) -> OceanIndex:
     tables: list[DataFrame] = []
     table_bytes: list[int] = []
     while True:
-        sizes = stage(entries.groupBy("scope").agg(F.count(F.lit(1)).alias("n")), "scope-sizes")
+        sizes = entries.groupBy("scope").agg(F.count(F.lit(1)).alias("n"))
         total = sizes.agg(F.max("n").alias("most"), F.sum("n").alias("rows"), F.count(F.lit(1)).alias("scopes")).first()
         if total.most is None:
             raise ValueError("the ocean table has no row with coordinates")
@@ -195,27 +195,27 @@ def match(queries: DataFrame, index: OceanIndex) -> DataFrame:
     """
     lat, lon = F.col("q_lat"), F.col("q_lon")
     tasks = _walk_tasks(queries.sparkSession, queries.count())
-    of_query = Window.partitionBy(*KEYS)
-
-    def reach(box: Column) -> Column:
-        return _surely_reached(lat, lon, box)
+    box, bound, of_query = F.col("box"), F.col("bound"), Window.partitionBy(*KEYS)
 
     frontier = queries.select(*KEYS, F.lit(float("inf")).alias("bound")).repartition(tasks, *KEYS)
     rows = sized_join(frontier, index.roots, ["q_scope"], index.root_bytes)
     for table, size in zip([*index.levels, index.leaves], [*index.level_bytes, index.leaf_bytes]):
-        least = F.array_min(F.transform("entries", reach))
-        boxes = rows.withColumn("bound", F.least("bound", F.min(least).over(of_query))).select(
-            *KEYS, "bound", F.explode("entries").alias("box"))
-        near = boxes.where(_least_possible(lat, lon, F.col("box")) <= F.col("bound"))
-        frontier = stage(near.select(*KEYS, "bound", F.col("box.node").alias("node")), "frontier")
+        boxes = rows.select(*KEYS, "bound", F.explode("entries").alias("box")).select(
+            *KEYS, "bound", F.col("box.node").alias("node"), _least_possible(lat, lon, box).alias("near"),
+            _surely_reached(lat, lon, box).alias("reach"))
+        # What the old bound leaves out cannot lower it either.
+        tighter = boxes.where("near <= bound").withColumn("bound", F.least(bound, F.min("reach").over(of_query)))
+        frontier = stage(tighter.where("near <= bound").select(*KEYS, "bound", "node"), "frontier")
         rows = sized_join(frontier.repartition(tasks, *KEYS), table, ["node"], size)
 
-    def candidate(p: Column) -> Column:
-        return F.struct(squared_distance(lat, lon, p["lat"], p["lon"]).alias("d2"), p["lat"].alias("lat"),
-                        p["lon"].alias("lon"), p["first"].alias("first"))
-
-    # One candidate of each node is left before the nodes of a query come together.
-    nearest = rows.select(*KEYS, F.array_min(F.transform("entries", candidate)).alias("best"))
+    candidates = (
+        rows.select(*KEYS, "bound", F.explode("entries").alias("p"))
+        .withColumn("d2", squared_distance(lat, lon, F.col("p.lat"), F.col("p.lon")))
+        .where("d2 <= bound")
+    )
+    nearest = candidates.select(*KEYS, F.struct(
+        "d2", F.col("p.lat").alias("lat"), F.col("p.lon").alias("lon"), F.col("p.first").alias("first")).alias("best"))
+    # The few at the bound come together by hash, without a sort.
     best = F.array_min(F.collect_list("best"))
     return (
         nearest.groupBy(*KEYS).agg(best.alias("best"))
