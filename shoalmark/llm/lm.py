@@ -27,7 +27,7 @@ LEVELS = 120  # reaches counts beyond 2**63
 PROBES = 3
 FILTER_BITS = 28  # 2**28 bits: 32 MB to broadcast, whatever the size of the corpus
 KNOWN_WORDS = 1 << 20  # most frequent words whose exact counts are broadcast: 16 MB
-SLICE_TOKENS = 1_500_000
+COUNT_SLICE, SCORE_SLICE = 1_000_000, 250_000  # tokens that a task works on at a time
 UNIGRAM, BIGRAM = 0, 1
 LEAST_BIGRAM = 2  # bigrams seen once are not stored
 WEIGHTS = np.array([0.001, 0.01, 0.03, 0.1, 0.2, 0.35, 0.5, 0.7, 0.85, 0.95, 0.99])
@@ -67,14 +67,14 @@ def token_hashes(text: str | None) -> np.ndarray:
     return out
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+def slices(batch: pa.RecordBatch, most: int = SCORE_SLICE) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
     """(rows, all their tokens, where each row's tokens end), some rows at a time."""
     rows, arrays, size = [], [], 0
     for k, text in enumerate(batch["text"]):
         rows.append(k)
         arrays.append(token_hashes(text.as_py()))
         size += len(arrays[-1])
-        if size >= SLICE_TOKENS or k == batch.num_rows - 1:
+        if size >= most or k == batch.num_rows - 1:
             yield rows, np.concatenate(arrays), np.cumsum([len(a) for a in arrays])
             rows, arrays, size = [], [], 0
 
@@ -115,7 +115,7 @@ def count_grams(docs: DataFrame, parts_bits: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, tokens, ends in slices(batch):
+            for _, tokens, ends in slices(batch, COUNT_SLICE):
                 for kind, grams in ((UNIGRAM, tokens), (BIGRAM, bigrams(histories(tokens, ends), tokens))):
                     hashes, counts = counted(grams)
                     cuts = np.flatnonzero(np.diff((hashes >> shift).astype(np.int64))) + 1
