@@ -2,18 +2,19 @@
 
 A sketch takes the few smallest hashes among a document's occurrence-labelled shingles and
 keeps them in text order, so it depends on the order of the text, not on its set of shingles
-alone. Documents that share a sketch meet in a bucket. Buckets do not emit their pairs: all
+alone. Some sketches take first occurrences only, so that what a text repeats weighs no more
+there than in the similarity. Documents that share a sketch meet in a bucket. Buckets do not emit their pairs: all
 members are compared with one pivot, and only where that leaves a bucket in several parts are
 its members compared across the parts, by small signatures, block by block.
 
-The similarity of two documents is matched / (all shingles of both - matched), where matched
-is the largest number of shingles that can be aligned in order. Copies of one word sequence
+The similarity of two documents is matched / (distinct shingles of both - matched), where
+matched is the largest number of shingles that can be aligned, each text being the sequence of
+its shingles at their first occurrences. Copies of one word sequence
 are put together first and stand in for each other.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -24,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoalmark.llm.common import hash_words, in_arrow, left_join_sized, text_key, words
-from shoalmark.session import stage
+from shoalmark.session import broadcast_budget, stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES = 20
+SKETCHES, FIRST_ONLY = 24, 10  # in all, and of first occurrences
 MINIMA = 3
 SIGNATURE_BITS = 4096
 DEVIATIONS = 4  # a pair that is similar enough fails the signature test about once in 30,000
@@ -58,42 +59,43 @@ def shingle_hashes(tokens: Sequence[bytes], size: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def labelled(shingles: np.ndarray) -> np.ndarray:
-    """Hashes that also tell the first, second, ... occurrence of a shingle apart."""
+def occurrences(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes that also tell the first, second, ... occurrence of a shingle apart; and the
+    shingles at their first occurrences. Both in text order."""
     order = np.argsort(shingles, kind="stable")
     ordered = shingles[order]
-    fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(ordered)]
     if fresh.all():
-        return shingles
+        return shingles, shingles
     place = np.arange(len(ordered))
     nth = np.empty(len(ordered), dtype=np.uint64)
     nth[order] = place - np.maximum.accumulate(np.where(fresh, place, 0))
-    return np.where(nth > 0, mixed(shingles + nth * _ODD[-3]), shingles)
+    return np.where(nth > 0, mixed(shingles + nth * _ODD[-3]), shingles), shingles[nth == 0]
 
 
-def order_sketches(shingles: np.ndarray) -> np.ndarray:
+def order_sketches(labelled: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """One number for each sketch: its smallest shingles, in text order."""
-    marked = labelled(shingles)
-    few = min(MINIMA, len(marked))
     out = np.empty(SKETCHES, dtype=np.uint64)
     for j in range(SKETCHES):
+        marked = firsts if j < FIRST_ONLY else labelled
+        few = min(MINIMA, len(marked))
         values = marked * _ODD[j]
         values ^= values >> np.uint64(32)
         values *= _ODD[-4]
         at = np.sort(np.argpartition(values, few - 1)[:few]) if few < len(marked) else np.arange(few)
-        value = np.uint64(j + 1)
-        for shingle in marked[at]:
-            value = np.uint64((int(value) * 0x9E3779B97F4A7C15 + int(shingle)) & 0xFFFFFFFFFFFFFFFF)
-        out[j] = mixed(np.array([value]))[0]
-    return out.view(np.int64)
+        value = j + 1
+        for shingle in marked[at].tolist():
+            value = (value * 0x9E3779B97F4A7C15 + shingle) & 0xFFFFFFFFFFFFFFFF
+        out[j] = value
+    return mixed(out).view(np.int64)
 
 
-def signature(shingles: np.ndarray) -> bytes:
-    """An odd sketch: a bit per hash value, flipped by each labelled shingle.
+def signature(firsts: np.ndarray) -> bytes:
+    """An odd sketch: a bit per hash value, flipped by each distinct shingle.
 
     The exclusive or of two sketches is the sketch of the shingles that only one text has.
     """
-    at = (mixed(labelled(shingles)) >> np.uint64(64 - SIGNATURE_BITS.bit_length() + 1)).astype(np.int64)
+    at = (mixed(firsts) >> np.uint64(64 - SIGNATURE_BITS.bit_length() + 1)).astype(np.int64)
     return np.packbits(np.bincount(at, minlength=SIGNATURE_BITS) & 1).tobytes()
 
 
@@ -145,39 +147,40 @@ def edits(a: Sequence, b: Sequence, band: int, run: int) -> tuple[int, int] | No
 def similar(a: list[bytes], b: list[bytes]) -> bool:
     """Whether aligned shingles reach ``SIMILARITY``; exact.
 
-    The shingles in common, in any order, bound the aligned ones from above; those in an
-    alignment of words bound them from below. Only between the two the shingles themselves
-    are aligned, within the band that the similarity allows.
+    The shingles in common, in any order, bound the aligned ones from above. In texts that
+    repeat no shingle those in an alignment of words bound them from below. Only between the
+    two the shingles themselves are aligned, within the band that the similarity allows.
     """
     if a == b:
         return True
     if min(len(a), len(b)) < SHINGLE:
         return False
-    sa, sb = shingle_hashes(a).tolist(), shingle_hashes(b).tolist()
+    sa, sb = (list(dict.fromkeys(shingle_hashes(x).tolist())) for x in (a, b))
     total = len(sa) + len(sb)
     enough = lambda matched: matched >= SIMILARITY * (total - matched)
-    if not enough(sum((Counter(sa) & Counter(sb)).values())):
+    if not enough(len(set(sa).intersection(sb))):
         return False
     band = int(total - 2 * SIMILARITY * total / (1 + SIMILARITY)) + 1
-    by_words = edits(a, b, band, SHINGLE)
-    if by_words and enough(by_words[1]):
-        return True
+    if total == len(a) + len(b) - 2 * (SHINGLE - 1):
+        by_words = edits(a, b, band, SHINGLE)
+        if by_words and enough(by_words[1]):
+            return True
     by_shingles = edits(sa, sb, band, 1)
     return by_shingles is not None and enough((total - by_shingles[0]) // 2)
 
 
 def profiles(documents: DataFrame) -> DataFrame:
-    """Key, exact hash of the words, shingle count, sketches and signature of each document."""
+    """Key, exact hash of the words, number of distinct shingles, sketches and signature of each document."""
 
     def rows(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"exact": [], "n_shingles": [], "sketches": [], "signature": []}
         for text in batch["text"]:
             tokens = words(text.as_py())
-            shingles = shingle_hashes(tokens)
+            labelled, firsts = occurrences(shingle_hashes(tokens))
             out["exact"].append(xxhash.xxh3_128_digest(b" ".join(tokens)) if tokens else None)
-            out["n_shingles"].append(len(shingles))
-            out["sketches"].append(order_sketches(shingles) if len(shingles) else None)
-            out["signature"].append(signature(shingles) if len(shingles) else None)
+            out["n_shingles"].append(len(firsts))
+            out["sketches"].append(order_sketches(labelled, firsts) if len(firsts) else None)
+            out["signature"].append(signature(firsts) if len(firsts) else None)
         return {"doc_id": batch["doc_id"], "key": batch["key"], **out}
 
     return in_arrow(keyed(documents), rows, PROFILE)
@@ -235,7 +238,7 @@ def verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     needed = stage(pairs.select(F.col("u").alias("key")).unionByName(pairs.select(F.col("v").alias("key"))).distinct(),
                    "needed")
     found = keyed(documents).select("key", "text").join(
-        F.broadcast(needed) if needed.count() * 16 <= _budget(needed) else needed, "key", "left_semi")
+        F.broadcast(needed) if needed.count() * 16 <= broadcast_budget(needed.sparkSession) else needed, "key", "left_semi")
     texts = stage(found.dropDuplicates(["key"]), "texts")
     sides = pairs.join(texts.select(F.col("key").alias("u"), F.col("text").alias("a")), "u").join(
         texts.select(F.col("key").alias("v"), F.col("text").alias("b")), "v")
@@ -248,12 +251,6 @@ def verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     return sides.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def _budget(df: DataFrame) -> int:
-    from shoalmark.session import broadcast_budget
-
-    return broadcast_budget(df.sparkSession)
-
-
 def bucket_members(nodes: DataFrame) -> DataFrame:
     """(key, bucket, n) of every sketch that n > 1 nodes share."""
     members = stage(nodes.select("key", F.explode("sketches").alias("bucket")), "members")
@@ -305,7 +302,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     """A row per document: doc_id, key, class_id, class_key, class_size.
 
     Documents are linked if their aligned five-word shingles have a similarity of 0.8 or
-    more, and a class holds all that links connect; class_id is its smallest doc_id (null
+    more (see ``similar``; repetitions count once), and a class holds all that links connect; class_id is its smallest doc_id (null
     ids last) and class_key names the row that has it. Words are as in ``common.words``, so
     case and white space do not count. Texts of fewer than five words are similar only if
     equal. Null texts and texts without a word are alone in a class each for itself. Rows that

@@ -8,7 +8,7 @@ from shoalmark.llm.common import words
 
 def aligned(a, b):
     """Longest common subsequence of the shingles, by the full table."""
-    sa, sb = ([tuple(x[i:i + 5]) for i in range(len(x) - 4)] for x in (a, b))
+    sa, sb = (list(dict.fromkeys(tuple(x[i:i + 5]) for i in range(len(x) - 4))) for x in (a, b))
     row = [0] * (len(sb) + 1)
     for x in sa:
         above = row[:]
@@ -64,6 +64,9 @@ def corpus(seed):
     for base in list(texts[10:40]):
         texts.append(" ".join(edited(rng, base.split(), rng.randint(0, 4))).upper())
         texts.append(base)
+    line = " ".join(fresh(30))
+    texts += [" ".join([line] * k + fresh(25)) for k in (1, 4, 9, 9, 12)]
+    texts += [" ".join([line] * k + hub[:90]) for k in (1, 5)]
     texts.append("again and " * 30_000)
     texts.append("again and " * 30_001)
     rng.shuffle(texts)
@@ -82,7 +85,7 @@ def classes(rows):
     for i in range(len(rows)):
         for j in range(i):
             long = min(len(tokens[i]), len(tokens[j])) > 1000
-            sizes = sorted((len(tokens[i]) - 4, len(tokens[j]) - 4))
+            sizes = sorted(len({tuple(x[k:k + 5]) for k in range(len(x) - 4)}) for x in (tokens[i], tokens[j]))
             if long and near_dup.similar(tokens[i], tokens[j]) or not long and (
                     tokens[i] == tokens[j] or sizes[0] >= 0.8 * sizes[1]) and tokens[i] and linked(tokens[i], tokens[j]):
                 root[find(i)] = find(j)
@@ -151,8 +154,8 @@ def test_components(spark):
 def test_order_matters():
     tokens = [f"w{i}".encode() for i in range(300)]
     swapped = tokens[150:] + tokens[:150]
-    a, b = (near_dup.order_sketches(near_dup.shingle_hashes(t)) for t in (tokens, swapped))
-    assert (a == b).sum() < 10
+    a, b = (near_dup.order_sketches(*near_dup.occurrences(near_dup.shingle_hashes(t))) for t in (tokens, swapped))
+    assert (a == b).sum() < 16
 
 
 def test_signatures_pass_what_is_similar_and_little_else():
