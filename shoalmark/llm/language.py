@@ -10,7 +10,7 @@ of its words.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +31,7 @@ TABLE_BITS = 18
 GRAMS = (2, 3, 4)  # with the marks of a word's ends these hold affixes of up to three letters
 CHAIN = 256  # words that are labelled together at most; longer lines are several chains
 BATCH_WORDS = 60_000
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 ROUNDS, RATE, DECAY = 40, 0.5, 1e-5
 WORD = re.compile(r"[^\W\d_]+")
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -159,9 +159,9 @@ class Labeller:
             self.emission = np.concatenate([self.emission, np.maximum(scores, 1e-30)])
         return [[self.number[w] for w in line] for line in lines]
 
-    def shares(self, texts: list[str]) -> np.ndarray:
-        """Expected words of each language in each text."""
-        out = np.zeros((len(texts), len(self.languages)))
+    def shares(self, texts: Iterable[str], count: int) -> np.ndarray:
+        """Expected words of each language in each of ``count`` texts, taken one by one."""
+        out = np.zeros((count, len(self.languages)))
         lines, owners, size = [], [], 0
         for k, text in enumerate(texts):
             for line in text.lower().split("\n"):
@@ -256,12 +256,12 @@ def train(documents: DataFrame, folds: int = 4, held_fold: int = 2) -> Labeller
     return fit(sample_lines(learn.where(fold.isNull() | (fold != held_fold))))
 
 
-def judged(labeller: Labeller | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+def judged(labeller: Labeller | None, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     """Language and share of each text; ``und`` and 0 for a text that is null or has no letter,
     or for any text if nothing could be learned. Ties go to the first language by name."""
     if labeller is None:
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-    shares = labeller.shares([t or "" for t in texts])
+    shares = labeller.shares((t.as_py() or "" for t in texts), len(texts))
     total, top = shares.sum(axis=1), shares.argmax(axis=1)
     best = [labeller.languages[t] if n > 0 else UNDETERMINED for t, n in zip(top, total)]
     return best, np.minimum(1.0, shares.max(axis=1) / np.where(total > 0, total, 1.0))
@@ -278,7 +278,7 @@ def predict(documents: DataFrame, labeller: Labeller | None, folds: int = 4, hel
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best, score = judged(shared.value, batch["text"].to_pylist())
+            best, score = judged(shared.value, batch["text"])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch["doc_id"],
                 "held_out": [remainder(i, folds) == held_fold for i in batch["doc_id"].to_pylist()],
@@ -296,7 +296,7 @@ def mark(documents: DataFrame, labeller: Labeller | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best, share = judged(shared.value, batch["text"].to_pylist())
+            best, share = judged(shared.value, batch["text"])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(best, pa.string()), pa.array(share, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "lang_share"])
