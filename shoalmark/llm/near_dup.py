@@ -284,15 +284,19 @@ def cross_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataF
     blocked = blocked.join(nodes.select("key", *SIDE), "key")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("size", kind="stable")
         sigs = signature_words(rows["signature"])
         key, size, root, block = (rows[c].to_numpy() for c in ("key", "size", "root", "block"))
         same_block = rows["low"].iloc[0] == rows["high"].iloc[0]
+        # In order of size, those that can be similar to a row follow it closely.
+        ends = np.searchsorted(size, size / SIMILARITY * (1 + 1e-9), side="right")
         out = []
-        for i in range(len(rows)):
-            at = np.flatnonzero((key > key[i]) & (root != root[i]) & in_size(size, size[i])
-                                & (same_block | (block != block[i])))
-            good = at[close(sigs[i], sigs[at], size[i] + size[at])]
-            out += [(key[i], key[j]) for j in good]
+        for i, end in enumerate(ends):
+            after = slice(i + 1, end)
+            apart = (root[after] != root[i]) & (same_block | (block[after] != block[i]))
+            if apart.any():
+                good = np.flatnonzero(apart & close(sigs[i], sigs[after], size[i] + size[after])) + i + 1
+                out += [(min(key[i], key[j]), max(key[i], key[j])) for j in good]
         return pd.DataFrame(out, columns=["u", "v"])
 
     return blocked.groupBy("bucket", "low", "high").applyInPandas(run, "u long, v long").distinct()
