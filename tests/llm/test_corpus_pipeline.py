@@ -44,7 +44,7 @@ def test_language(results):
 
 
 def test_quality_equals_brute_force(results):
-    from test_quality import brute
+    from llm.test_quality import brute
 
     columns, before, _, after = results["quality_rules"]
     want = {}
