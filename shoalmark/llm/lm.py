@@ -2,30 +2,34 @@
 
 Counts are quantised to levels that grow by a constant factor. The filter holds each n-gram
 once for every level up to its own, so probing level after level until one is missing gives
-the level back. It has a fixed number of bits, is built in slices by the tasks that count,
-and is broadcast. Probabilities mix the bigram's and the word's relative frequency; the
-weight for each level of the history is fitted with every training token left out of the
-counts it is scored by.
+the level back. It has as many bits as the counted n-grams need, each at its own level, and is
+built in slices by the tasks that count. It is broadcast if it fits the budget; if not, the
+n-grams of the texts are dealt to the slices, which gives the same levels. Probabilities mix
+the bigram's and the word's relative frequency; the weight for each level of the history is
+fitted with every training token left out of the counts it is scored by.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoalmark.llm.common import hash_words, remainder, text_key, words
-from shoalmark.session import stage
+from shoalmark.session import broadcast_budget, stage
 
 FACTOR = 1.5  # from one level to the next
 LEVELS = 120  # reaches counts beyond 2**63
 PROBES = 3
-FILTER_BITS = 28  # 2**28 bits: 32 MB to broadcast, whatever the size of the corpus
+FILTER_BITS = 28  # 2**28 bits: 32 MB, the least size of the filter
+FILL = 0.69  # settings a bit, at which half of the bits stay clear
+ASKED_BYTES = 64 << 20  # n-grams that meet a slice of the filter at a time
 KNOWN_WORDS = 1 << 20  # most frequent words whose exact counts are broadcast: 16 MB
 COUNT_SLICE, SCORE_SLICE = 1_000_000, 250_000  # tokens that a task works on at a time
 UNIGRAM, BIGRAM = 0, 1
@@ -37,6 +41,7 @@ END, START = (np.uint64(h) for h in hash_words([b"\n", b"\t"]))
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 GRAMS = "kind int, part int, hashes binary, counts binary, histogram array<long>"
+CHUNKS = "chunk long, ids array<long>, keys array<long>, words binary, places binary, ends array<long>"
 SCORED = ("doc_id long, key long, held_out boolean, n_tokens long, known long, base double, score double, "
           "rare array<long>, times array<long>")
 
@@ -100,6 +105,11 @@ def counted(hashes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nd
     return hashes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def cut(hashes: np.ndarray, shift: np.uint64) -> np.ndarray:
+    """Where sorted hashes go over from one part to the next."""
+    return np.flatnonzero(np.diff((hashes >> shift).astype(np.int64))) + 1
+
+
 def training(docs: DataFrame, folds: int, held_fold: int) -> DataFrame:
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
     return docs.where(fold.isNull() | (fold != held_fold))
@@ -118,7 +128,7 @@ def count_grams(docs: DataFrame, parts_bits: int) -> DataFrame:
             for _, tokens, ends in slices(batch, COUNT_SLICE):
                 for kind, grams in ((UNIGRAM, tokens), (BIGRAM, bigrams(histories(tokens, ends), tokens))):
                     hashes, counts = counted(grams)
-                    cuts = np.flatnonzero(np.diff((hashes >> shift).astype(np.int64))) + 1
+                    cuts = cut(hashes, shift)
                     blocks = list(zip(np.split(hashes, cuts), np.split(counts.astype("<u4"), cuts)))
                     yield pa.RecordBatch.from_pydict({
                         "kind": pa.array([kind] * len(blocks), pa.int32()),
@@ -147,42 +157,82 @@ def positions(grams: np.ndarray, level: int, probe: int, parts_bits: int, bits:
     return ((grams >> np.uint64(64 - parts_bits)) << np.uint64(bits - parts_bits)) | within
 
 
+def fill_slice(rows: Iterable[tuple[int, bytes, bytes]], least: dict[int, int], parts_bits: int, bits: int) -> np.ndarray:
+    """The bytes of a slice that holds the n-grams of ``rows`` (kind, hashes, counts)."""
+    size = 1 << bits - parts_bits
+    there = np.zeros(size, dtype=bool)
+    for kind, hashes, counts in rows:
+        hashes, level = np.frombuffer(hashes, np.uint64), levels_of(np.frombuffer(counts, "<i8"))
+        hashes, level = hashes[level >= least[kind]], level[level >= least[kind]]
+        for j in range(1, int(level.max(initial=0)) + 1):
+            for probe in range(PROBES):
+                there[(positions(hashes[level >= j], j, probe, parts_bits, bits) & np.uint64(size - 1))
+                      .astype(np.int64)] = True
+    return np.packbits(there, bitorder="little")
+
+
+def probed(there: np.ndarray, grams: np.ndarray, least: int, parts_bits: int, bits: int) -> np.ndarray:
+    """Level of each n-gram by probing one level after the other; 0 if it is not stored.
+
+    ``there`` is the whole filter, or the slice that all of ``grams`` belong to.
+    """
+    out = np.zeros(len(grams), dtype=np.int64)
+    at, within = np.arange(len(grams)), np.uint64(8 * len(there) - 1)
+    for level in range(1, LEVELS + 1):
+        for probe in range(PROBES):
+            bit = positions(grams[at], level, probe, parts_bits, bits) & within
+            at = at[(there[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        if not len(at):
+            break
+        out[at] = level
+    out[out < least] = 0
+    return out
+
+
 def build_filter(grams: DataFrame, least: dict[int, int], parts_bits: int, bits: int) -> np.ndarray:
     """The filter's bytes, put together from one slice per kind and part (2**bits bits each kind)."""
-    size = 1 << bits - parts_bits
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for kind, part, hashes, counts in zip(*(batch[c].to_pylist() for c in ("kind", "part", "hashes", "counts"))):
-                hashes, level = np.frombuffer(hashes, np.uint64), levels_of(np.frombuffer(counts, "<i8"))
-                hashes, level = hashes[level >= least[kind]], level[level >= least[kind]]
-                there = np.zeros(size, dtype=bool)
-                for j in range(1, int(level.max(initial=0)) + 1):
-                    for probe in range(PROBES):
-                        there[(positions(hashes[level >= j], j, probe, parts_bits, bits) & np.uint64(size - 1))
-                              .astype(np.int64)] = True
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array([part], pa.int32()),
-                    "slice": pa.array([np.packbits(there, bitorder="little").tobytes()], pa.binary())})
+                    "slice": pa.array([fill_slice([(kind, hashes, counts)], least, parts_bits, bits).tobytes()],
+                                      pa.binary())})
 
     out = np.zeros(1 << bits - 3, dtype=np.uint8)
-    width = size >> 3
+    width = 1 << bits - parts_bits - 3
     for row in grams.select("kind", "part", "hashes", "counts").mapInArrow(fill, "part int, slice binary").toLocalIterator():
         out[row.part * width:(row.part + 1) * width] |= np.frombuffer(row.slice, np.uint8)
     return out
 
 
-def least_levels(histogram: dict[int, np.ndarray], bits: int) -> dict[int, int]:
-    """Lowest level stored of each kind: as low as keeps half of the filter's bits clear.
+def stored_load(histogram: dict[int, np.ndarray], least: dict[int, int]) -> dict[int, float]:
+    """Bits set for each kind if it is stored from its least level on."""
+    level = np.arange(LEVELS + 1)
+    return {kind: float((histogram[kind] * level)[least[kind]:].sum()) * PROBES for kind in (UNIGRAM, BIGRAM)}
 
-    Bigrams give way first, then words, so a larger corpus has a coarser model but never a
-    larger filter.
+
+def all_levels() -> dict[int, int]:
+    """Least levels at which every counted n-gram is stored."""
+    return {UNIGRAM: 1, BIGRAM: int(levels_of(np.array([LEAST_BIGRAM]))[0])}
+
+
+def bits_needed(histogram: dict[int, np.ndarray], at_least: int) -> int:
+    """Bits (as a power of two) that store every counted n-gram and leave half of them clear."""
+    load, bits = sum(stored_load(histogram, all_levels()).values()), at_least
+    while load > FILL * (1 << bits):
+        bits += 1
+    return bits
+
+
+def least_levels(histogram: dict[int, np.ndarray], bits: int) -> dict[int, int]:
+    """Lowest level stored of each kind in a filter whose size the caller has fixed: as low as
+    keeps half of its bits clear. Bigrams give way first, then words.
     """
-    least = {UNIGRAM: 1, BIGRAM: int(levels_of(np.array([LEAST_BIGRAM]))[0])}
-    level = np.arange(LEVELS + 1)
-    load = lambda kind: float((histogram[kind] * level)[least[kind]:].sum()) * PROBES
-    while load(UNIGRAM) + load(BIGRAM) > 0.69 * (1 << bits):
-        least[BIGRAM if load(BIGRAM) else UNIGRAM] += 1
+    least = all_levels()
+    while sum((load := stored_load(histogram, least)).values()) > FILL * (1 << bits):
+        least[BIGRAM if load[BIGRAM] else UNIGRAM] += 1
     return least
 
 
@@ -190,7 +240,7 @@ def least_levels(histogram: dict[int, np.ndarray], bits: int) -> dict[int, int]:
 class Model:
     """A filter and what scoring needs beside it."""
 
-    filter: np.ndarray
+    filter: np.ndarray | None  # None if it is too large to broadcast
     parts_bits: int
     bits: int
     least: dict[int, int]
@@ -201,33 +251,28 @@ class Model:
     weights: np.ndarray  # of the bigram, by the level of the history
 
     def levels(self, grams: np.ndarray, kind: int) -> np.ndarray:
-        """Level of each n-gram by probing one level after the other; 0 if it is not stored."""
-        out = np.zeros(len(grams), dtype=np.int64)
-        at = np.arange(len(grams))
-        for level in range(1, LEVELS + 1):
-            for probe in range(PROBES):
-                bit = positions(grams[at], level, probe, self.parts_bits, self.bits)
-                at = at[(self.filter[(bit >> np.uint64(3)).astype(np.int64)]
-                         >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1]
-            if not len(at):
-                break
-            out[at] = level
-        out[out < self.least[kind]] = 0
-        return out
-
-    def looked_up(self, tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For each token: the word's share, its history's level, its bigram's level."""
+        return probed(self.filter, grams, self.least[kind], self.parts_bits, self.bits)
+
+    def looked_up(self, tokens: np.ndarray, ends: np.ndarray,
+                  found: dict[int, np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
+        """For each token: the word's share, its history's level, its bigram's level.
+
+        ``found`` has the levels of the distinct words and bigrams in order of their hashes.
+        """
         distinct, back = np.unique(tokens, return_inverse=True)
-        level = self.levels(distinct, UNIGRAM)[back]
-        starts = np.concatenate([[0], ends[:-1]])
-        history = np.roll(level, 1)
-        history[starts] = self.levels(np.array([END]), UNIGRAM)[0]  # a text starts as often as one ends
         pairs, of_pair = np.unique(bigrams(histories(tokens, ends), tokens), return_inverse=True)
+        if found is None:
+            found = {UNIGRAM: self.levels(distinct, UNIGRAM), BIGRAM: self.levels(pairs, BIGRAM)}
+        level = found[UNIGRAM][back]
+        history = np.roll(level, 1)
+        # A text starts as often as one ends, and each ends with an end token.
+        history[np.concatenate([[0], ends[:-1]])] = found[UNIGRAM][np.searchsorted(distinct, END)]
         share = (VALUES[level] + 1) / (self.tokens + self.types + 1)
-        return share, history, self.levels(pairs, BIGRAM)[of_pair]
+        return share, history, found[BIGRAM][of_pair]
 
-    def log_probabilities(self, tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        share, history, pair = self.looked_up(tokens, ends)
+    def log_probabilities(self, tokens: np.ndarray, ends: np.ndarray,
+                          found: dict[int, np.ndarray] | None = None) -> np.ndarray:
+        share, history, pair = self.looked_up(tokens, ends, found)
         weight = self.weights[history]
         together = np.minimum(1.0, VALUES[pair] / np.maximum(VALUES[history], 1))
         return np.log10(weight * together + (1 - weight) * share)
@@ -241,15 +286,20 @@ class Model:
         return np.where(self.known[at] == distinct, self.known_counts[at], -1)[back]
 
 
-def fit_weights(docs: DataFrame, shared) -> np.ndarray:
+def fit_weights(pieces: DataFrame, shared, read: Callable, held: Callable) -> np.ndarray:
     """For each level of the history the weight under which all training text is most likely,
-    every token being left out of the counts of its own bigram and history."""
+    every token being left out of the counts of its own bigram and history.
+
+    ``read`` gives what a batch of ``pieces`` holds, and ``held`` tells documents apart that
+    are no training text.
+    """
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((LEVELS + 1, len(WEIGHTS)))
         for batch in batches:
-            for _, tokens, ends in slices(batch):
-                share, history, pair = shared.value.looked_up(tokens, ends)
+            for ids, _, tokens, ends, found in read(batch):
+                learn = np.repeat([not held(i) for i in ids], np.diff(ends, prepend=0))
+                share, history, pair = (x[learn] for x in shared.value.looked_up(tokens, ends, found))
                 others = np.maximum(VALUES[pair] - 1, 0) * (pair > shared.value.least[BIGRAM])
                 together = others / np.maximum(VALUES[history] - 1, 1)
                 seen = np.flatnonzero(together > 0)
@@ -261,7 +311,7 @@ def fit_weights(docs: DataFrame, shared) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"level": pa.array(range(LEVELS + 1), pa.int32()),
                                           "gains": pa.array(total.tolist(), pa.list_(pa.float64()))})
 
-    rows = docs.select("text").mapInArrow(fit, "level int, gains array<double>")
+    rows = pieces.mapInArrow(fit, "level int, gains array<double>")
     best = np.full(LEVELS + 1, WEIGHTS[0])
     by_level = rows.select("level", F.posexplode("gains").alias("g", "gain")).groupBy("level").pivot(
         "g", list(range(len(WEIGHTS)))).sum("gain")
@@ -271,8 +321,111 @@ def fit_weights(docs: DataFrame, shared) -> np.ndarray:
     return best
 
 
-def train(docs: DataFrame, filter_bits: int = FILTER_BITS, known_words: int = KNOWN_WORDS):
-    """(Model in a broadcast, its counted n-grams) from the texts of ``docs``."""
+def read_texts(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(ids, keys, tokens, ends, None) of some texts at a time."""
+    ids, keys = batch["doc_id"].to_pylist(), batch["key"].to_pylist()
+    for rows, tokens, ends in slices(batch):
+        yield [ids[k] for k in rows], [keys[k] for k in rows], tokens, ends, None
+
+
+def read_found(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(ids, keys, tokens, ends, levels by kind) of one chunk at a time."""
+    for k in range(batch.num_rows):
+        row = {c: batch[c][k].as_py() for c in ("ids", "keys", "words", "places", "ends", "one", "two")}
+        tokens, ends = unpacked(row["words"], row["places"], row["ends"])
+        yield row["ids"], row["keys"], tokens, ends, {
+            kind: np.frombuffer(b"".join(row[c]), np.uint8).astype(np.int64) for kind, c in ((UNIGRAM, "one"), (BIGRAM, "two"))}
+
+
+def unpacked(distinct: bytes, places: bytes, ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    ends = np.array(ends, dtype=np.int64)
+    at = np.frombuffer(pa.decompress(places, 4 * int(ends[-1]), "zstd", asbytes=True), "<u4")
+    return np.frombuffer(distinct, "<u8")[at], ends
+
+
+def packed(hashes: np.ndarray) -> bytes:
+    """Sorted hashes as the bytes of their differences, all first bytes first, compressed."""
+    planes = np.diff(hashes, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return len(hashes).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked_hashes(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def look_up(docs: DataFrame, model: Model, grams: DataFrame) -> DataFrame:
+    """Chunks of the texts, with the levels of their words and bigrams: what a filter too large
+    to broadcast gives.
+
+    Each chunk asks once for each of its distinct n-grams, cut by part. A part's slice of the
+    filter is made where the questions to it arrive, in several places if there are many, so
+    a task holds one slice and about ASKED_BYTES of n-grams whatever the size of the corpus.
+    """
+    parts_bits, bits, least = model.parts_bits, model.bits, model.least
+    shift = np.uint64(64 - parts_bits)
+    places = 1 + (16 * model.tokens >> parts_bits) // ASKED_BYTES
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for ids, keys, tokens, ends, _ in read_texts(batch):
+                distinct, at = np.unique(tokens, return_inverse=True)
+                yield pa.RecordBatch.from_pydict({
+                    "chunk": pa.array([chunk], pa.int64()), "ids": pa.array([ids], pa.list_(pa.int64())),
+                    "keys": pa.array([keys], pa.list_(pa.int64())), "words": pa.array([distinct.tobytes()], pa.binary()),
+                    "places": pa.array([pa.compress(at.astype("<u4").tobytes(), "zstd", asbytes=True)], pa.binary()),
+                    "ends": pa.array([ends.tolist()], pa.list_(pa.int64()))})
+                chunk += 1
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                chunk = batch["chunk"][k].as_py()
+                tokens, ends = unpacked(*(batch[c][k].as_py() for c in ("words", "places", "ends")))
+                for kind, hashes in ((UNIGRAM, tokens), (BIGRAM, bigrams(histories(tokens, ends), tokens))):
+                    hashes = np.unique(hashes)
+                    blocks = np.split(hashes, cut(hashes, shift))
+                    yield pa.RecordBatch.from_pydict({
+                        "chunk": pa.array([chunk] * len(blocks), pa.int64()),
+                        "place": pa.array([chunk % places] * len(blocks), pa.int32()),
+                        "kind": pa.array([kind] * len(blocks), pa.int32()),
+                        "part": pa.array([int(h[0] >> shift) for h in blocks], pa.int32()),
+                        "hashes": pa.array([packed(h) for h in blocks], pa.binary())})
+
+    def answer(asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+        there = fill_slice(zip(stored["kind"], stored["hashes"], stored["counts"]), least, parts_bits, bits)
+        out = []
+        for kind, rows in asked.groupby("kind"):
+            hashes = [unpacked_hashes(h) for h in rows["hashes"]]
+            level = probed(there, np.concatenate(hashes), least[kind], parts_bits, bits)
+            cuts = np.cumsum([len(h) for h in hashes])[:-1]
+            out.append(rows[["chunk", "kind", "part"]].assign(
+                levels=[x.tobytes() for x in np.split(level.astype(np.uint8), cuts)]))
+        return pd.concat(out) if out else asked[["chunk", "kind", "part"]].assign(levels=b"")
+
+    chunks = stage(docs.mapInArrow(gather, CHUNKS), "chunks")
+    asked = chunks.select("chunk", "words", "places", "ends").mapInArrow(
+        ask, "chunk long, place int, kind int, part int, hashes binary")
+    stored = grams.select("kind", "part", "hashes", "counts", F.explode(
+        F.sequence(F.lit(0), F.lit(places - 1))).alias("place"))
+    levels = asked.groupBy("part", "place").cogroup(stored.groupBy("part", "place")).applyInPandas(
+        answer, "chunk long, kind int, part int, levels binary")
+
+    def in_order(kind: int):
+        return F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("part", "levels"))))["levels"]
+
+    by_chunk = levels.groupBy("chunk").agg(in_order(UNIGRAM).alias("one"), in_order(BIGRAM).alias("two"))
+    return stage(chunks.join(by_chunk, "chunk"), "found")
+
+
+def prepare(docs: DataFrame, filter_bits: int | None, known_words: int) -> tuple[Model, DataFrame]:
+    """(Model without weights, its counted n-grams) from the texts of ``docs``.
+
+    With ``filter_bits`` None every counted n-gram is stored at its level, and a filter beyond
+    the broadcast budget is not put together.
+    """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts_bits = min(16, max(6, (2 * partitions - 1).bit_length()))
@@ -286,13 +439,30 @@ def train(docs: DataFrame, filter_bits: int = FILTER_BITS, known_words: int = KN
         frequent -= 1
     known, known_counts = frequent_words(grams, frequent)
     sums = word_counts(grams).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-    least = least_levels(histogram, filter_bits)
-    model = Model(build_filter(grams, least, parts_bits, filter_bits), parts_bits, filter_bits, least, int(sums),
-                  int(histogram[UNIGRAM].sum()), known, known_counts, np.full(LEVELS + 1, WEIGHTS[0]))
-    first = spark.sparkContext.broadcast(model)
-    model.weights = fit_weights(docs, first)
+    if filter_bits is None:
+        least, bits = all_levels(), max(bits_needed(histogram, FILTER_BITS), parts_bits + 3)
+    else:
+        least, bits = least_levels(histogram, filter_bits), filter_bits
+    small = filter_bits is not None or 1 << bits - 3 <= broadcast_budget(spark)
+    return Model(build_filter(grams, least, parts_bits, bits) if small else None, parts_bits, bits, least, int(sums),
+                 int(histogram[UNIGRAM].sum()), known, known_counts, np.full(LEVELS + 1, WEIGHTS[0])), grams
+
+
+def fitted(pieces: DataFrame, model: Model, read: Callable, held: Callable):
+    """The model with its weights, in a broadcast."""
+    context = pieces.sparkSession.sparkContext
+    first = context.broadcast(model)
+    model.weights = fit_weights(pieces, first, read, held)
     first.unpersist()
-    return spark.sparkContext.broadcast(model), grams
+    return context.broadcast(model)
+
+
+def train(docs: DataFrame, filter_bits: int | None = None, known_words: int = KNOWN_WORDS):
+    """(Model in a broadcast, its counted n-grams) from the texts of ``docs``."""
+    docs = docs.select("doc_id", F.lit(0).cast("long").alias("key"), "text")
+    model, grams = prepare(docs, filter_bits, known_words)
+    pieces, read = (docs, read_texts) if model.filter is not None else (look_up(docs, model, grams), read_found)
+    return fitted(pieces, model, read, lambda doc_id: False), grams
 
 
 def frequent_words(grams: DataFrame, above: int) -> tuple[np.ndarray, np.ndarray]:
@@ -330,7 +500,7 @@ def word_counts(grams: DataFrame) -> DataFrame:
         rows, "word long, n long, level int")
 
 
-def score(documents: DataFrame, folds: int = 7, held_fold: int = 2, filter_bits: int = FILTER_BITS,
+def score(documents: DataFrame, folds: int = 7, held_fold: int = 2, filter_bits: int | None = None,
           known_words: int = KNOWN_WORDS) -> DataFrame:
     """Score every whole text by a model of the documents outside the held-out fold.
 
@@ -340,36 +510,49 @@ def score(documents: DataFrame, folds: int = 7, held_fold: int = 2, filter_bits:
     not held out. Repeated rows count each for itself in training and get equal scores. An
     empty table gives no rows; without training text both scores are 0. Words are told apart
     by 64-bit hashes. Exact counts of the ``known_words`` most frequent words are broadcast;
-    the documents meet those of all other words in a join.
+    the documents meet those of all other words in a join. The filter grows with the n-grams
+    and stores each of them at its level, but for bigrams seen once; only a caller that fixes
+    its size by ``filter_bits`` gets a coarser model from a larger corpus.
     """
     doc_id = F.col("doc_id").cast("long")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = documents.select(doc_id.alias("doc_id"), text_key(doc_id, text).alias("key"), text.alias("text"))
-    shared, grams = train(training(docs, folds, held_fold), filter_bits, known_words)
-    tokens, types = shared.value.tokens, shared.value.types
+    learnt = training(docs, folds, held_fold)
+    model, grams = prepare(learnt, filter_bits, known_words)
+    tokens, types = model.tokens, model.types
+
+    def held(doc_id: int | None) -> bool:
+        return remainder(doc_id, folds) == held_fold
+
+    if model.filter is not None:
+        pieces, read = docs, read_texts
+        shared = fitted(learnt, model, read, held)
+    else:
+        pieces, read = look_up(docs, model, grams), read_found
+        shared = fitted(pieces, model, read, held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            ids, keys = batch["doc_id"].to_pylist(), batch["key"].to_pylist()
-            for rows, hashes, ends in slices(batch):
+            for ids, keys, hashes, ends, found in read(batch):
                 starts = np.concatenate([[0], ends[:-1]])
                 exact = model.exact(hashes)
                 common = exact >= 0
                 base = np.add.reduceat(np.where(common, np.log10(np.maximum(exact, 0) + 1.0), 0.0), starts)
                 rare = [counted(hashes[a:b][~common[a:b]]) for a, b in zip(starts, ends)]
+                logs = model.log_probabilities(hashes, ends, found)
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array([ids[k] for k in rows], pa.int64()),
-                    "key": pa.array([keys[k] for k in rows], pa.int64()),
-                    "held_out": [remainder(ids[k], folds) == held_fold for k in rows],
+                    "doc_id": pa.array(ids, pa.int64()),
+                    "key": pa.array(keys, pa.int64()),
+                    "held_out": [held(i) for i in ids],
                     "n_tokens": pa.array(ends - starts),
                     "known": pa.array(np.add.reduceat(common.astype(np.int64), starts)),
                     "base": pa.array(base),
-                    "score": pa.array(np.add.reduceat(model.log_probabilities(hashes, ends), starts)),
+                    "score": pa.array(np.add.reduceat(logs, starts)),
                     "rare": pa.array([h.view(np.int64) for h, _ in rare], pa.list_(pa.int64())),
                     "times": pa.array([n.astype(np.int64) for _, n in rare], pa.list_(pa.int64()))})
 
-    scored = stage(docs.mapInArrow(run, SCORED), "scored")
+    scored = stage(pieces.mapInArrow(run, SCORED), "scored")
     pairs = scored.where(F.size("rare") > 0).select("key", F.explode(F.arrays_zip("rare", "times")).alias("x"))
     # Repeated rows have one key and equal words.
     pairs = pairs.select("key", F.col("x.rare").alias("word"), F.col("x.times").alias("times")).distinct()

@@ -105,3 +105,30 @@ def test_empty(frame):
     assert lm.score(frame([], "doc_id long, text string"), filter_bits=16).collect() == []
     held_only = frame([(2, "a b")] if held(2) else [(next(i for i in range(99) if held(i)), "a b")], "doc_id long, text string")
     assert [(r.n_known, r.base_score, r.score) for r in lm.score(held_only, filter_bits=16).collect()] == [(0, 0.0, 0.0)]
+
+
+def test_filter_grows_until_all_is_stored():
+    histogram = {0: np.full(lm.LEVELS + 1, 10_000), 1: np.full(lm.LEVELS + 1, 90_000)}
+    bits = lm.bits_needed(histogram, 20)
+    load = sum(lm.stored_load(histogram, lm.all_levels()).values())
+    assert 0.345 * (1 << bits) < load <= 0.69 * (1 << bits)
+    assert lm.least_levels(histogram, bits) == lm.all_levels()
+
+
+def test_no_level_is_given_up_and_slices_score_alike(spark, frame, monkeypatch):
+    """More n-grams than the least filter holds: all are stored, broadcast or in slices."""
+    df = frame(corpus(3, 300), "doc_id long, text string")
+    monkeypatch.setattr(lm, "FILTER_BITS", 12)
+    monkeypatch.setattr(lm, "SCORE_SLICE", 500)  # many chunks
+    scores = lambda: sorted((repr(r.doc_id), r.score, r.base_score, r.n_known) for r in lm.score(df).collect())
+    docs = df.select("doc_id", "text")
+    whole = scores()
+    model = lm.train(docs)[0].value
+    assert model.least == lm.all_levels() and model.bits > 12
+    spark.conf.set("spark.shoalmark.broadcastBytes", "1")
+    try:
+        monkeypatch.setattr(lm, "ASKED_BYTES", 64)  # several places a slice
+        assert lm.train(docs)[0].value.filter is None
+        assert scores() == whole
+    finally:
+        spark.conf.unset("spark.shoalmark.broadcastBytes")
