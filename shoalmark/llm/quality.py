@@ -69,18 +69,45 @@ def packed_windows(words: Column) -> Column:
 def repeated_places(words: Column, ordered: Column) -> Column:
     """Places of windows that occur more than once: equal to a neighbour in hash order.
 
-    Windows whose hashes agree are compared word by word.
+    Windows whose hashes agree are compared word by word. Where different windows have one
+    hash, copies need not be neighbours; such a text is put in order by the words themselves.
     """
     high, low = F.lit(-(1 << PLACE_BITS)), F.lit((1 << PLACE_BITS) - 1)
 
-    def same(a: Column, b: Column) -> Column:
+    def one_hash(a: Column, b: Column) -> Column:
+        return a.bitwiseAND(high) == b.bitwiseAND(high)
+
+    def one_text(a: Column, b: Column) -> Column:
         words_equal = [F.get(words, a.bitwiseAND(low).cast("int") + j)
                        == F.get(words, b.bitwiseAND(low).cast("int") + j) for j in range(3)]
-        return F.coalesce((a.bitwiseAND(high) == b.bitwiseAND(high))
-                          & words_equal[0] & words_equal[1] & words_equal[2], F.lit(False))
+        return words_equal[0] & words_equal[1] & words_equal[2]
+
+    def same(a: Column, b: Column) -> Column:
+        return F.coalesce(one_hash(a, b) & one_text(a, b), F.lit(False))
+
+    def clash(a: Column, b: Column) -> Column:
+        return F.coalesce(one_hash(a, b) & ~one_text(a, b), F.lit(False))
 
     found = F.filter(ordered, lambda v, k: same(v, F.get(ordered, k - 1)) | same(v, F.get(ordered, k + 1)))
-    return F.sort_array(F.transform(found, lambda v: v.bitwiseAND(low)))
+    clashes = F.size(F.filter(ordered, lambda v, k: clash(v, F.get(ordered, k + 1)))) > 0
+    return F.when(clashes, places_by_words(words)).otherwise(
+        F.sort_array(F.transform(found, lambda v: v.bitwiseAND(low))))
+
+
+def places_by_words(words: Column) -> Column:
+    """The same places by sorting all windows by their words."""
+    windows = F.sort_array(F.transform(
+        F.slice(words, F.lit(1), F.size(words) - 2),
+        lambda word, i: F.struct(F.struct(word.alias("a"), F.get(words, i + 1).alias("b"), F.get(words, i + 2).alias("c"))
+                                 .alias("text"), i.cast("long").alias("place"))))
+
+    def copies(ordered: Column) -> Column:
+        return F.filter(ordered, lambda v, k: F.coalesce(v["text"] == F.get(ordered, k - 1)["text"], F.lit(False))
+                        | F.coalesce(v["text"] == F.get(ordered, k + 1)["text"], F.lit(False)))
+
+    # A variable of a function is computed once, an expression in it for every element.
+    found = F.get(F.transform(F.array(windows), copies), F.lit(0))
+    return F.sort_array(F.transform(found, lambda v: v["place"]))
 
 
 def words_covered(places: Column) -> Column:

@@ -53,3 +53,12 @@ def test_filter_on_the_verdict_keeps_the_arrays_apart(frame):
 
 def test_empty(frame):
     assert quality.assess(frame([], "doc_id long, text string")).collect() == []
+
+
+def test_copies_apart_within_one_hash(frame):
+    """Another window with the same kept hash bits lies between two copies."""
+    words = [f"f{i}" for i in range(110)]
+    words[0:3] = words[100:103] = ["a", "b", "c"]
+    ordered = [(5 << quality.PLACE_BITS) | place for place in (0, 50, 100)]
+    df = frame([(words, ordered)], "words array<string>, ordered array<long>")
+    assert df.select(quality.repeated_places(F.col("words"), F.col("ordered"))).first()[0] == [0, 100]
