@@ -19,8 +19,7 @@ from pyspark.sql.window import Window
 
 from shoalmark.session import stage
 
-# Components beyond this could overflow a 64-bit score within 2048 dimensions.
-LIMIT = 1 << 26
+LIMIT = 1 << 62  # larger components are an error
 FOUND = "query_id long, query_key long, vec_id long, score long, nth int"
 
 
@@ -95,8 +94,11 @@ def _search_shard(k: int, leaf_size: int):
             vectors = np.array(points["vector"].tolist(), dtype=np.int64).reshape(len(points), -1)
             asked = np.array(queries["asked"].tolist(), dtype=np.int64).reshape(len(queries), -1)
             # Doubles are exact as long as no partial sum can reach 2**53, and much faster.
-            widest = float(max(np.abs(vectors).max(initial=0), 1)) * max(np.abs(asked).max(initial=0), 1)
-            if widest * max(vectors.shape[1], 1) < 2**53:
+            most = (max(int(np.abs(vectors).max(initial=0)), 1) * max(int(np.abs(asked).max(initial=0)), 1)
+                    * max(vectors.shape[1], 1))
+            if most >= 2**63:
+                raise OverflowError(f"inner products of up to {most} do not fit 64 bits")
+            if most < 2**53:
                 vectors, asked = vectors.astype(np.float64), asked.astype(np.float64)
             tree = Tree(vectors, points["vec_id"].to_numpy(), leaf_size)
             bounds = tree.bounds(asked)
@@ -113,12 +115,14 @@ def _search_shard(k: int, leaf_size: int):
 
 
 def integer_vectors(embeddings: DataFrame, scale: int = 1024) -> DataFrame:
-    """(vec_id, vector): floor(scale * component). Vectors that are null or hold a null, a
-    non-finite or a far too large component (over 65536 at this scale) take no part."""
+    """(vec_id, vector): floor(scale * component). Vectors that are null or hold a null or a
+    non-finite component take no part; a component of 2**62 or more at this scale is an error."""
     x = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
-    fit = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v * scale) < LIMIT))
+    fit = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    whole = lambda v: F.when(F.abs(v * scale) < float(LIMIT), F.floor(v * scale)).otherwise(
+        F.raise_error(F.concat(F.lit("component too large: "), v.cast("string"))).cast("long"))
     return x.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(fit).select(
-        "vec_id", F.transform("embedding", lambda v: F.floor(v * scale)).alias("vector"))
+        "vec_id", F.transform("embedding", whole).alias("vector"))
 
 
 def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, shard_rows: int = 8192,
@@ -129,7 +133,8 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, shard_rows: i
     rows of the same dimension but those with the query's own id; ties go to the smaller
     vec_id. Fewer candidates than ``k`` give fewer rows, none give none, as does an empty
     table. A row repeated whole counts once; different vectors under one id are each a
-    candidate and each a query, ranked apart. Exact for any integers below 2**26.
+    candidate and each a query, ranked apart. Exact as long as the inner products of a shard are
+    sure to fit 64 bits, that is dims * (largest component)**2 < 2**63; beyond that it raises.
 
     A shard has about ``shard_rows`` points and meets queries in blocks of about
     ``query_rows``, so no task holds more than one shard and one block.
@@ -159,8 +164,9 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, shard_rows: i
 
     at_home = stage(search(queries.withColumn("asked_shard", F.col("home"))
                            .withColumn("known", F.lit(None).cast("double"))), "home")
+    at_most = F.col("score").cast("double")  # a double may be above a large score, so a little less
     known = at_home.where(F.col("nth") == k).select(
-        "query_id", "query_key", F.col("score").cast("double").alias("known"))
+        "query_id", "query_key", (at_most - F.abs(at_most) * 2.0**-52).alias("known"))
     elsewhere = (queries.join(known, ["query_id", "query_key"], "left")
                  .withColumn("asked_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
                  .where(F.col("asked_shard") != F.col("home")))

@@ -50,3 +50,25 @@ def test_few_and_none(frame):
     assert kd_search.top_k(kd_search.integer_vectors(frame([], schema))).collect() == []
     one = kd_search.integer_vectors(frame([(100, [1.0]), (1, [2.0])], schema))
     assert list(map(tuple, kd_search.top_k(one).collect())) == [(100, 1, 1, 1024 * 2048)]
+
+
+def test_every_finite_vector_takes_part(frame):
+    rows = [(0, [65536.0, 1.0]), (1, [-70000.5, 2.0]), (2, [1e6, 0.25]), (10, [1.0, 1.0]), (11, [0.5, -3.0])]
+    df = frame(rows, "vec_id long, embedding array<double>")
+    found = kd_search.top_k(kd_search.integer_vectors(df), k=3, query_every=10, shard_rows=2)
+    assert sorted(map(tuple, found.collect())) == brute(rows, 3, 10)
+
+
+def test_large_scores_above_the_precision_of_doubles(frame):
+    rng = random.Random(9)
+    rows = [(i, [2.0**20 + rng.randrange(3) / 1024, 2.0**20]) for i in range(60)]
+    df = frame(rows, "vec_id long, embedding array<double>")
+    found = kd_search.top_k(kd_search.integer_vectors(df), k=4, query_every=10, shard_rows=7, leaf_size=2)
+    assert sorted(map(tuple, found.collect())) == brute(rows, 4, 10)
+
+
+@pytest.mark.parametrize("value", [1e9, 1e300])
+def test_what_does_not_fit_is_an_error(frame, value):
+    df = frame([(0, [value] * 8), (1, [value] * 8)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="do not fit 64 bits|component too large"):
+        kd_search.top_k(kd_search.integer_vectors(df)).collect()
