@@ -32,7 +32,7 @@ SIMILARITY = 0.8
 SKETCHES, FIRST_ONLY = 24, 10  # in all, and of first occurrences
 MINIMA = 3
 SIGNATURE_BITS = 4096
-DEVIATIONS = 4  # a pair that is similar enough fails the signature test about once in 30,000
+DEVIATIONS = 6  # by the normal curve a similar pair fails the signature test once in 10**9
 BLOCK_ROWS = 2000
 SIDE = ("size", "signature")  # what a comparison needs of a document besides its key
 ROW_BYTES = 48

@@ -173,3 +173,13 @@ def test_signatures_pass_what_is_similar_and_little_else():
                 kept[near_dup.similar(a, b)].append((passes, shared / (len(sa) + len(sb) - shared)))
         assert all(p for p, _ in kept[True])
         assert not any(p for p, j in kept[False] if j < 0.72)
+
+
+@pytest.mark.parametrize("total", [400, 2000, 8000])
+def test_signatures_five_deviations_apart_pass(total):
+    m, d = near_dup.SIGNATURE_BITS, total * 0.2 / 1.8
+    mean = m / 2 * (1 - np.exp(-2 * d / m))
+    variance = m / 4 * (1 - np.exp(-4 * d / m)) - d * np.exp(-4 * d / m)
+    bits = np.arange(m) < mean + 5.5 * np.sqrt(variance)
+    apart = np.packbits(bits).view(np.uint64)
+    assert near_dup.close(np.zeros_like(apart), apart[None], np.array([total]))[0]
