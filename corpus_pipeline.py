@@ -32,9 +32,12 @@ def with_text(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter and those without a main language.
 
-    The model learns from the documents themselves, outside its held-out fold.
+    The model learns from the documents themselves, outside its held-out fold. Where none of
+    them is labelled there is no model, and every document with a letter stays.
     """
     labeller = language.train(docs)
+    if labeller is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     judged = language.mark(docs, labeller)
     return judged.where((F.col("lang_pred") != language.UNDETERMINED)
                         & (F.col("lang_share") >= LEAST_LANGUAGE_SHARE)).select(docs.columns)

@@ -107,3 +107,10 @@ def test_clashing_columns_and_empty_tables(spark):
             if name != "best_fit_packing":
                 assert out.count() <= 40 and (out.columns == docs.columns or name == "language_id")
     assert language.UNDETERMINED == "und"
+
+
+def test_unlabelled_documents_stay(frame):
+    rows = [(i, t, None) for i, t in enumerate(["Some words.", "é", "12 %", "", None])]
+    docs = frame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.identify_language(docs.sparkSession, docs, DATA)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1] and kept.columns == docs.columns
