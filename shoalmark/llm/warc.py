@@ -3,7 +3,8 @@
 Records are gzip members of their own in files that Spark's text sink writes, so any file
 system that Spark writes to will do. The index keeps captures sorted by reversed-host key
 in compressed blocks. A sparse directory has the first key of each block; look-ups search
-it and then the block by bisection, and read nothing but the byte range of each record.
+it and then the block by bisection. Reading loads each archive that has a wanted record
+whole, and decompresses nothing but the byte range of each record.
 """
 
 from __future__ import annotations
