@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoalmark.llm import bpe, chat, kd_search, language, line_dedup, lm, near_dup, packing, quality, warc
+from shoalmark.llm import (
+    bpe, chat, fill_in_middle, kd_search, language, line_dedup, lm, merkle, near_dup, packing, quality,
+    secret_scan, warc)
 from shoalmark.llm.common import ship_package, table
 from shoalmark.session import configure
 
@@ -87,3 +89,26 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return language.predict(documents, language.train(documents, folds=4, held_fold=2), folds=4, held_fold=2)
+
+
+@query
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = secret_scan.scan(table(spark, sf_dir, "documents")).withColumn(
+        "base", secret_scan.of_kinds(F.col("spans"), secret_scan.BASE_RULES))
+    counts = [F.size(secret_scan.of_kinds(F.col("base"), [rule])).cast("long").alias(f"n_{rule.kind}")
+              for rule in secret_scan.BASE_RULES]
+    return spans.select("doc_id", *counts, F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.written(F.col("spans")).alias("spans"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents")).drop("copies")
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
