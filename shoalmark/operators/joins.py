@@ -56,3 +56,11 @@ def sized_join(left: DataFrame, right: DataFrame, on: Sequence[str], right_bytes
         left = stage(left, "join-input")
         counted = left.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
     return salted_join(left, right, on, hot_keys(counted, on))
+
+
+def left_sized_join(left: DataFrame, right: DataFrame, on: Sequence[str], right_bytes: int) -> DataFrame:
+    """Left join on keys that ``right`` has once each: ``left`` is not shuffled if ``right`` is
+    measured to fit a broadcast."""
+    if right_bytes <= broadcast_budget(left.sparkSession):
+        right = F.broadcast(right)
+    return left.join(right, list(on), "left")
