@@ -16,7 +16,6 @@ from shoalmark.operators.model import feature_columns, prediction_surface, train
 from shoalmark.operators.nearest import build_index
 from shoalmark.operators.profile import (
     column_profile, head_rows, missing_dates, modal_species, summary_statistics, yearly_counts)
-from shoalmark.operators.ocean import within_year
 from shoalmark.operators.species import few_or_none, most_recorded, species_gate, suggestions
 from shoalmark.operators.training import ENVIRONMENT, shuffled, training_set, training_sets
 from shoalmark.schemas import OCEAN
@@ -24,7 +23,8 @@ from shoalmark.session import configure, stage
 from shoalmark.sources.landing import first_records, landed_records, page_gaps, read_pages
 from shoalmark.sources.models import save_model
 from shoalmark.sources.tables import (
-    landed_years, read_csv, write_by_species, write_csv, write_ocean, write_parquet)
+    landed_years, read_csv, read_year_files, write_by_species, write_csv, write_landing, write_ocean,
+    write_parquet)
 
 
 def land_occurrences(spark: SparkSession, pages_path: str, out_path: str,
@@ -54,13 +54,18 @@ def land_ocean_csv(spark: SparkSession, pattern: str, out_path: str) -> None:
 
 
 def land_ocean_years(spark: SparkSession, files: dict[int, str], out_path: str) -> list[int]:
-    """Land the files of the years that the table does not have yet; returns those years."""
+    """Land the files of the years that the table does not have yet; returns those years.
+
+    All missing years are read by one job. Every row is kept, also one of another year than its
+    file's or without a time (the nearest join takes both): read the table with ``read_ocean``.
+    ``read_landings`` tells how many there are.
+    """
+    configure(spark)
     there = set(landed_years(spark, out_path))
-    missing = sorted(set(files) - there)
-    for year in missing:
-        configure(spark)
-        write_ocean(within_year(read_csv(spark, files[year], OCEAN), year), out_path)
-    return missing
+    missing = {year: files[year] for year in sorted(set(files) - there)}
+    if missing:
+        write_landing(stage(read_year_files(spark, missing, OCEAN), "ocean-years"), out_path, list(missing))
+    return list(missing)
 
 
 def fuse_tables(occurrences: DataFrame, ocean: DataFrame, out_path: str) -> DataFrame:
