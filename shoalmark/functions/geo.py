@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # The study region in degrees.
 REGION_LATITUDE = (8.0, 37.0)
 REGION_LONGITUDE = (68.0, 97.0)
+REGION_WKT = "POLYGON((68 8, 97 8, 97 37, 68 37, 68 8))"
 
 
 def in_box(lat: Column, lon: Column, lat_range: Sequence[float] = REGION_LATITUDE,
