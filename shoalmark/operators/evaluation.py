@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CLASS_NAMES = ("Absence", "Presence")  # fixed value
 
 
-def _cells(pred: DataFrame) -> DataFrame:
-    """One row with the four counts c00, c01, c10, c11 (actual, predicted)."""
-    return pred.agg(*[
+def _cells(pred: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The four counts c00, c01, c10, c11 (actual, predicted), in one row or one for each group."""
+    return pred.groupBy(*by).agg(*[
         F.count_if((F.col("label") == a) & (F.col("prediction") == p)).alias(f"c{a}{p}")
         for a in (0, 1) for p in (0, 1)
     ])
@@ -35,16 +37,29 @@ def _share(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-def classification_report(pred: DataFrame) -> DataFrame:
-    """Precision, recall, F1 and support per class, then accuracy and both averages."""
-    df = _cells(pred)
+def _measured(cells: DataFrame) -> DataFrame:
+    """Add precision, recall, F1 and support of both classes: p0, r0, f0, s0, p1 and so on."""
     for k in (0, 1):
         hit, other = F.col(f"c{k}{k}"), 1 - k
         predicted, actual = hit + F.col(f"c{other}{k}"), hit + F.col(f"c{k}{other}")
-        df = df.withColumns({
+        cells = cells.withColumns({
             f"p{k}": _share(hit, predicted), f"r{k}": _share(hit, actual),
             f"f{k}": _share(2 * hit, predicted + actual), f"s{k}": actual,
         })
+    return cells
+
+
+def report_by(pred: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row for each group: rows, accuracy, and the measures of presence."""
+    total = F.col("s0") + F.col("s1")
+    return _measured(_cells(pred, by)).select(
+        *by, total.alias("n_test"), _share(F.col("c00") + F.col("c11"), total).alias("accuracy"),
+        F.col("p1").alias("precision"), F.col("r1").alias("recall"), F.col("f1").alias("f1"))
+
+
+def classification_report(pred: DataFrame) -> DataFrame:
+    """Precision, recall, F1 and support per class, then accuracy and both averages."""
+    df = _measured(_cells(pred))
     total = F.col("s0") + F.col("s1")
 
     def line(name: str, precision: Column, recall: Column, f1: Column, support: Column) -> Column:

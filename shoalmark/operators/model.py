@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoalmark.functions.numbers import DEFAULT_SEED
+from shoalmark.operators.forest import MISSING
 from shoalmark.operators.grid import GRID_STEPS, lattice
 from shoalmark.operators.nearest import OceanIndex, attach_nearest
 from shoalmark.operators.split import LEAST_ROWS, assign_split
@@ -25,9 +26,6 @@ ROW_KEY = ("occ_id", "draw")
 MAX_DEPTH = 15
 LEAST_TASKS = 8
 LEAST_ROWS_PER_TASK, MOST_ROWS_PER_TASK, MANY_TASKS = 20_000, 2_000_000, 1_000
-# Stands for a missing measurement: sorts after every real value, so that trees can part
-# missing from present and no training row is lost.
-MISSING = 1e30
 
 
 def _features_ready(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -76,6 +74,11 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     )
 
 
+def features_for(n_rows: int, with_environment: bool) -> list[str]:
+    """The features of a model; with fewer than four rows only the coordinates."""
+    return [*COORDINATES, *(ENVIRONMENT if with_environment and n_rows >= LEAST_ROWS else ())]
+
+
 def train_and_test(training: DataFrame, with_environment: bool = True, trees: int = TREES,
                    seed: int = DEFAULT_SEED) -> tuple[PipelineModel, DataFrame]:
     """Split, fit, and score the test rows (``label``, ``prediction``, ``p``).
@@ -85,9 +88,7 @@ def train_and_test(training: DataFrame, with_environment: bool = True, trees: in
     """
     rows = stage(training, "training-rows")
     split = stage(assign_split(rows, "presence", ROW_KEY, seed=seed), "split")
-    features = list(COORDINATES)
-    if with_environment and split.count() >= LEAST_ROWS:
-        features += ENVIRONMENT
+    features = features_for(split.count(), with_environment)
     model = fit_forest(split.where("role in ('train', 'both')"), features, trees, seed)
     tested = score(model, split.where("role in ('test', 'both')"))
     return model, tested.withColumnRenamed("presence", "label")

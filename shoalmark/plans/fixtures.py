@@ -53,6 +53,16 @@ select occ_id, species, decimalLatitude, decimalLongitude,
   case when occ_id % 37 = 0 then null else 18e0 + ((occ_id * 13) % 170) / 10e0 end as temperature_C,
   30e0 + ((occ_id * 7) % 100) / 20e0 as salinity_PSU
 from occ_raw where species is not null and decimalLatitude is not null and decimalLongitude is not null""",
+    "areas": """
+select n_nationkey as region_id, case
+  when n_nationkey % 9 = 4 then 'POLYGON((68 8, 70 9)' when n_nationkey % 9 = 7 then null
+  when n_nationkey % 4 = 1 then
+    'MULTIPOLYGON (((' || x || ' ' || y || ', ' || (x + 4) || ' ' || y || ', ' || (x + 4) || '.5 ' || (y + 3) || ', ' || x || ' ' || y || ')), (('
+      || (x + 6) || ' ' || y || ', ' || (x + 9) || ' ' || (y + 1) || ', ' || (x + 6) || ' ' || (y + 7) || ', ' || (x + 6) || ' ' || y || ')))'
+  else 'POLYGON ((' || x || ' ' || y || '.3, ' || (x + 8) || ' ' || (y + 1) || ', ' || (x + 6) || '.5 ' || (y + 7) || ', '
+      || (x + 3) || ' ' || (y + 4) || ', ' || x || '.2 ' || (y + 8) || ', ' || x || ' ' || y || '.3), (' || (x + 2) || ' ' || (y + 2) || ', '
+      || (x + 4) || ' ' || (y + 2) || ', ' || (x + 4) || ' ' || (y + 3) || '.75, ' || (x + 2) || ' ' || (y + 2) || '))' end as wkt
+from (select n_nationkey, 68 + n_nationkey % 5 * 5 as x, 8 + cast(floor(n_nationkey / 5) as int) * 5 as y from nation) as corners""",
     "pred": """
 select doc_id as row_id, quality as label, toxic as prediction, ((doc_id * 37) % 101) / 100e0 as p
 from labels""",
@@ -66,7 +76,7 @@ from embeddings""",
 _TABLES = {
     "occ": ["events"], "occ_raw": ["events"], "occ_nan": ["events"], "fused": ["events"], "ocean": ["orders"],
     "taxa": ["lineitem", "part", "supplier", "nation", "region"],
-    "pred": ["labels"], "grid_slices": ["embeddings"],
+    "pred": ["labels"], "areas": ["nation"], "grid_slices": ["embeddings"],
 }
 _NEEDS = {"occ_raw": ["occ"], "fused": ["occ", "occ_raw"], "occ_nan": ["occ", "occ_raw"]}
 

@@ -127,18 +127,78 @@ def _polygon() -> str:
 _ROLES = "with roles as (with " + _SPLIT.format(
     t=f"({_training('click', True)})", by="", group="", label="presence", key="occ_id || ':' || draw") + ")"
 
+_CELLS_AT = with_views("occ ocean", f""", {_BOX.format(t='occ')},
+cells as (select i_lat * 200 + i_lon as cell_id, min_lat + i_lat * (max_lat - min_lat) / 199e0 as la,
+    min_lon + i_lon * (max_lon - min_lon) / 199e0 as lo
+  from range(200) a(i_lat) cross join range(200) b(i_lon) cross join box),
+reps as (select * from ocean qualify row_number() over (
+  partition by latitude, longitude order by {_ORDER}) = 1),
+best as (select cell_id, min({{'d2': (la - latitude) * (la - latitude) + (lo - longitude) * (lo - longitude),
+    'la': latitude, 'lo': longitude, 't': temperature_C, 's': salinity_PSU}}) as hit
+  from cells cross join reps group by cell_id)
+""")
+
+_EVERY_SPECIES = with_views("fused", f""",
+named as (select * replace (lower(trim(species)) as species) from fused), {_BOX.format(t='named')},
+every as (
+  select species, occ_id, 0::int as draw, 1::int as presence from named union all
+  select species, occ_id, draw, 0::int as presence from ({_ABSENCES.format(t='named', ratio=1)})),
+""")
+
+_PAGES = with_views("occ", """,
+held as (
+  select *, occ_id // 100 * 100 as page, 'first' as kind from occ where occ_id // 100 * 100 % 1100 <> 500
+  union all
+  select *, (occ_id - 50) // 100 * 100 + 50, 'half' from occ where occ_id >= 50 and (occ_id - 50) // 100 * 100 % 400 = 0
+  union all
+  select * replace (case when occ_id % 2 = 0 then upper(species) else species end as species),
+    occ_id // 100 * 100 + 20, 'other' from occ where occ_id // 100 * 100 % 700 = 0 and occ_id % 100 between 20 and 79
+  union all
+  select *, (occ_id - 200) // 1300 * 1300 + 200, 'long' from occ where occ_id >= 200 and (occ_id - 200) % 1300 < 120),
+pages as (select page, kind, count(*) as n, page + count(*) as page_end from held group by page, kind),
+versions as (
+  select occ_id, species, decimalLatitude, decimalLongitude, eventDate, min({'page': page, 'shorter': -n}) as first
+  from held join pages using (page, kind) group by all),
+numbered as (select *, row_number() over (partition by occ_id order by first) as version from versions),
+swept as (
+  select *, max(page_end) over (order by page, page_end desc rows between unbounded preceding and 1 preceding) as reach
+  from pages),
+clusters as (
+  select *, sum(case when reach is null or page >= reach then 1 else 0 end) over (order by page, page_end desc
+    rows unbounded preceding) as cluster from swept)
+""")
+
 ORACLES: dict[str, str] = {
     "landing_all": with_views("occ", """
 select row_number() over (order by occ_id) - 1 as occ_id, * exclude (occ_id) from occ"""),
     "landing_limit": with_views("occ", """
 select row_number() over (order by occ_id) - 1 as occ_id, * exclude (occ_id) from occ
 order by 1 limit 750"""),
+    "landing_half": with_views("occ", """
+select * from occ qualify row_number() over (order by occ_id) <= (select count(*) // 2 from occ)"""),
+    "landing_overlap": _PAGES + "select * exclude (first, version) from numbered where version = 1",
+    "landing_conflicts": _PAGES + "select * exclude (first, version) from numbered where version > 1",
+    "landing_audit": _PAGES + """
+select page as "offset", page_end as "end", 'repeated' as problem, 1::bigint as n from pages
+where kind = 'first' and page % 300 = 0
+union all
+select min(page), max(page_end), 'overlap', count(*) from clusters group by cluster having count(*) > 1
+union all select page, page_end, 'oversize', n from pages where n > 100
+union all select page, page_end, 'short', n from pages where n < 100 and page < (select max(page) from pages)
+union all select coalesce(reach, 0), page, 'missing', page - coalesce(reach, 0) from swept where page > coalesce(reach, 0)""",
     "csv_roundtrip": with_views("occ_raw", "select * from occ_raw"),
     "ocean_by_year": with_views("ocean", """
 select year(time)::int as year, count(*) as n, min(temperature_C) as min_temperature,
   max(salinity_PSU) as max_salinity from ocean group by 1"""),
     "ocean_partitioned_roundtrip": with_views("ocean", """
 select * exclude (ocean_id), year(time)::int as year from ocean"""),
+    "ocean_landing": with_views("ocean", """
+select case when ocean_id % 53 <> 0 then time end as time, * exclude (ocean_id, time),
+  case when ocean_id % 53 <> 0 then year(time)::int end as year from ocean"""),
+    "ocean_landings": with_views("ocean", """
+select (year(time) + (ocean_id % 41 = 0)::int)::int as file_year, count(*) as n_rows,
+  count(*) filter (where ocean_id % 53 <> 0 and ocean_id % 41 = 0) as n_other_year,
+  count(*) filter (where ocean_id % 53 = 0) as n_no_time from ocean group by 1"""),
     "missing_years": with_views("occ ocean", """
 select distinct year(try_cast(eventDate as timestamp))::int as year from occ
 where try_cast(eventDate as timestamp) is not null
@@ -185,6 +245,25 @@ select * from (select occ_id, decimalLatitude - 3e0 as decimalLatitude,
 where decimalLatitude >= 8 and decimalLatitude <= 37
   and decimalLongitude >= 68 and decimalLongitude <= 97"""),
     "polygon_filter": _polygon(),
+    "region_join": with_views("occ areas", r""",
+ring as (
+  select region_id, ring_no, string_split(ring, ',') as corners from (
+    select region_id, unnest(range(1, 1 + len(rings))) as ring_no, unnest(rings) as ring from (
+      select region_id, regexp_extract_all(wkt, '\(([^()]+)\)', 1) as rings from areas where wkt like '%))'))),
+corner as (
+  select region_id, ring_no, place, cast(string_split(trim(corners[place]), ' ')[1] as double) as x,
+    cast(string_split(trim(corners[place]), ' ')[2] as double) as y
+  from (select *, unnest(range(1, 1 + len(corners))) as place from ring)),
+edge as (
+  select * from (select *, lead(x) over w as x2, lead(y) over w as y2 from corner
+    window w as (partition by region_id, ring_no order by place)) where y2 <> y)
+select occ_id, region_id from occ join edge
+  on (y > decimalLatitude) <> (y2 > decimalLatitude) and decimalLongitude < x + (decimalLatitude - y) * ((x2 - x) / (y2 - y))
+group by occ_id, region_id having count(*) % 2 = 1"""),
+    "unreadable_regions": with_views("areas", "select * from areas where wkt is null or wkt not like '%))'"),
+    "wkt_filter": with_views("occ", """
+select * from (select occ_id, decimalLatitude - 3e0 as decimalLatitude, decimalLongitude + 2e0 as decimalLongitude from occ)
+where decimalLatitude >= 8 and decimalLatitude < 37 and decimalLongitude >= 68 and decimalLongitude < 97"""),
     "species_lookup": with_views("occ_raw", f"""
 select name, species, count(*) as n from occ_raw join (
   select {_NAMES} as name, arg_min(species, occ_id) as species from occ_raw
@@ -275,16 +354,18 @@ select unnest(['Absence', 'Presence', 'accuracy', 'macro avg', 'weighted avg'])
 from roles where role in ('test', 'both')""",
     "rf_reload_differences": _ROLES + """
 select count(*) as n, 0::bigint as n_different from roles where role in ('test', 'both')""",
-    "surface_cells": with_views("occ ocean", f""", {_BOX.format(t='occ')},
-cells as (select i_lat * 100 + i_lon as cell_id, min_lat + i_lat * (max_lat - min_lat) / 99e0 as la,
-    min_lon + i_lon * (max_lon - min_lon) / 99e0 as lo
-  from range(100) a(i_lat) cross join range(100) b(i_lon) cross join box),
-reps as (select * from ocean qualify row_number() over (
-  partition by latitude, longitude order by {_ORDER}) = 1),
-best as (select cell_id, min({{'d2': (la - latitude) * (la - latitude) + (lo - longitude) * (lo - longitude),
-    'la': latitude, 'lo': longitude, 't': temperature_C, 's': salinity_PSU}}) as hit
-  from cells cross join reps group by cell_id)
-select cell_id, hit.t as temperature, hit.s as salinity, true as p_in_range from best"""),
+    "rf_nodes": _ROLES + """
+select count(*) as n, 0::bigint as n_different_p, 0::bigint as n_different_class
+from roles where role in ('test', 'both')""",
+    "model_all_species": _EVERY_SPECIES + "roles as (with " + _SPLIT.format(
+        t="every", by="species, ", group="partition by species", label="presence",
+        key="occ_id || ':' || draw") + """)
+select species, count(*) filter (where role <> 'test') as n_train,
+  count(*) filter (where role <> 'train') as n_test, true as learnt from roles group by species""",
+    "surface_cells": _CELLS_AT + "select cell_id, hit.t as temperature, hit.s as salinity, true as p_in_range from best",
+    "surface_all_species": _CELLS_AT + """
+select species, cell_id, hit.t as temperature, hit.s as salinity, true as p_in_range
+from best cross join (select distinct lower(trim(species)) as species from occ where species is not null)""",
     "overlay_points": with_views("occ_raw", """
 select occ_id, species, decimalLatitude, decimalLongitude from occ_raw where species = (
   select species from occ_raw where species is not null group by species order by count(*) desc, species limit 1)"""),

@@ -7,16 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoalmark.functions.geo import in_polygon
+from shoalmark.functions.geo import REGION_WKT, in_polygon
 from shoalmark.functions.text import normalised_name, species_key
 from shoalmark.functions.time import event_timestamp, event_year
-from shoalmark.operators import cleaning, evaluation, grid, model, ocean, profile, species
+from shoalmark.operators import cleaning, evaluation, forest, grid, model, ocean, profile, regions, species
 from shoalmark.operators.fusion import fuse
 from shoalmark.operators.nearest import MATCHED, attach_nearest, build_index
 from shoalmark.operators.split import assign_split
 from shoalmark.operators.training import (
     pseudo_absences, shuffled, training_set, training_sets)
-from shoalmark.plans import pipelines
+from shoalmark.plans import all_species, pipelines
 from shoalmark.plans.fixtures import view
 from shoalmark.schemas import OCCURRENCE, OCEAN, OCEAN_WITH_YEAR
 from shoalmark.session import configure, scratch_path, stage
@@ -68,6 +68,51 @@ def landing_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.first_records(landed(spark, sf_dir, 100), 750)
 
 
+@query
+def landing_half(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = landed(spark, sf_dir, 1000)
+    return landing.first_records(records, records.count() // 2)
+
+
+def downloaded_again(spark: SparkSession, sf_dir: str) -> landing.Landing:
+    """The ``occ`` view landed from pages of 100 as several broken downloads leave them: pages
+    that lack, that landed twice, that begin half-way into others, that are too long, and that
+    have other names in them."""
+    occ = view(spark, sf_dir, "occ")
+    place, page = F.col("occ_id"), F.floor(F.col("occ_id") / 100) * 100
+    half = F.floor((place - 50) / 100) * 100
+    other_name = F.when(place % 2 == 0, F.upper("species")).otherwise(F.col("species"))
+    long = F.floor((place - 200) / 1300) * 1300 + 200
+    kinds = [
+        ("first", occ.withColumn("offset", page).where("offset % 1100 <> 500")),
+        ("again", occ.withColumn("offset", page).where("offset % 300 = 0 and offset % 1100 <> 500")),
+        ("half", occ.where("occ_id >= 50").withColumn("offset", half + 50).where("(offset - 50) % 400 = 0")),
+        ("other", occ.withColumn("offset", page + 20).where("offset % 700 = 20 and occ_id between offset and offset + 59")
+         .withColumn("species", other_name)),
+        ("long", occ.where("occ_id >= 200").withColumn("offset", long).where("occ_id < offset + 120")),
+    ]
+    path = scratch_path(spark, "pages")
+    for kind, rows in kinds:
+        rows.groupBy("offset").agg(F.array_sort(F.collect_list(F.struct(*occ.columns))).alias("results")).write.json(
+            f"{path}/kind={kind}")
+    return landing.land_pages(landing.read_pages(spark, path).drop("kind"), page_size=100)
+
+
+@query
+def landing_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return downloaded_again(spark, sf_dir).records.select(*view(spark, sf_dir, "occ").columns)
+
+
+@query
+def landing_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return downloaded_again(spark, sf_dir).conflicts.select(*view(spark, sf_dir, "occ").columns)
+
+
+@query
+def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return downloaded_again(spark, sf_dir).audit
+
+
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     occ = view(spark, sf_dir, "occ_raw")
@@ -88,6 +133,33 @@ def ocean_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("salinity_PSU").alias("max_salinity"))
 
 
+def landed_year_files(spark: SparkSession, sf_dir: str) -> str:
+    """The ``ocean`` view landed from a CSV folder for each year, in two goes and once more.
+
+    A year's files also hold rows of the year before, and rows without a time that can be read.
+    """
+    rows = tables.with_year(view(spark, sf_dir, "ocean")).withColumn(
+        "file_year", F.col("year") + (F.col("ocean_id") % 41 == 0).cast("int"))
+    rows = rows.withColumn("time", F.when(F.col("ocean_id") % 53 == 0, "no time").otherwise(F.col("time").cast("string")))
+    files, path = scratch_path(spark, "ocean-csv"), scratch_path(spark, "ocean")
+    rows.drop("year", "ocean_id").hint("rebalance", "file_year").write.option("header", True).partitionBy("file_year").csv(files)
+    years = [r.file_year for r in rows.select("file_year").distinct().orderBy("file_year").collect()]
+    given = {year: f"{files}/file_year={year}" for year in years}
+    for part in (dict(list(given.items())[::2]), given, given):
+        pipelines.land_ocean_years(spark, part, path)
+    return path
+
+
+@query
+def ocean_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read_ocean(spark, landed_year_files(spark, sf_dir), OCEAN_WITH_YEAR)
+
+
+@query
+def ocean_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read_landings(spark, landed_year_files(spark, sf_dir))
+
+
 @query
 def ocean_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ocean")
@@ -236,6 +308,24 @@ def polygon_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("occ_id", *POINT)
 
 
+@query
+def region_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.region_join(view(spark, sf_dir, "occ"), view(spark, sf_dir, "areas")).select("occ_id", "region_id")
+
+
+@query
+def unreadable_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.unreadable_regions(view(spark, sf_dir, "areas"), "wkt")
+
+
+@query
+def wkt_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = view(spark, sf_dir, "occ").select(
+        "occ_id", (F.col("decimalLatitude") - 3.0).alias("decimalLatitude"),
+        (F.col("decimalLongitude") + 2.0).alias("decimalLongitude"))
+    return regions.within_wkt(shifted, REGION_WKT)
+
+
 @query
 def species_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return species.canonical_spellings(view(spark, sf_dir, "occ_raw"))
@@ -466,11 +556,49 @@ def rf_reload_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.count_if(~F.col("p").eqNullSafe(F.col("p_reloaded"))).alias("n_different"))
 
 
+def node_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows with p from the model and p walked through its table of nodes."""
+    fitted, tested = trained(spark, sf_dir)
+    path = save_model(fitted, spark, scratch_path(spark, "models"), "click")
+    rows = stage(tested.withColumnRenamed("prediction", "model_prediction").withColumnRenamed("p", "model_p"), "tested")
+    nodes = forest.saved_nodes(spark, path).withColumn("species", rows.agg(F.min("species")).scalar())
+    return forest.score_by_nodes(rows, nodes, model.feature_columns(fitted))
+
+
+@query
+def rf_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    close = F.abs(F.col("p") - F.col("model_p")) <= 1e-12
+    return node_scores(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~close).alias("n_different_p"),
+        F.count_if(F.col("prediction") != F.col("model_prediction")).alias("n_different_class"))
+
+
+def modelled_species(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """Models of all species of the ``fused`` view, in names without case and blanks."""
+    fused = view(spark, sf_dir, "fused").withColumn("species", normalised_name(F.col("species")))
+    return all_species.model_all(fused, base)
+
+
+@query
+def model_all_species(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = modelled_species(spark, sf_dir, scratch_path(spark, "models"))
+    # Absences all have the mean conditions, so that a forest that learns tells nearly all apart.
+    return report.select("species", "n_train", "n_test", (F.col("accuracy") >= 0.95).alias("learnt"))
+
+
+@query
+def surface_all_species(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "models")
+    modelled_species(spark, sf_dir, base)
+    maps = all_species.map_all(spark, base, view(spark, sf_dir, "occ"), ocean_rows(spark, sf_dir))
+    return maps.select("species", "cell_id", "temperature", "salinity", F.col("p").between(0, 1).alias("p_in_range"))
+
+
 @query
 def surface_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted, _ = trained(spark, sf_dir)
     index = build_index(ocean_rows(spark, sf_dir), by_year=False)
-    points = model.surface_points(view(spark, sf_dir, "occ"), index, steps=100)
+    points = model.surface_points(view(spark, sf_dir, "occ"), index)
     return model.score(fitted, points).select(
         "cell_id", "temperature", "salinity", F.col("p").between(0, 1).alias("p_in_range"))
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-_staged: list[str] = []  # folders this process has staged tables in
+_scratch: list[str] = []  # paths this process has made in the shared folder
+_shipped: set[str] = set()  # applications whose workers have the package
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -36,8 +41,10 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, until ``release_staged``."""
+    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -47,23 +54,42 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     sizes. Used where one result feeds several later steps.
     """
     path = scratch_path(df.sparkSession, label)
-    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release_staged(spark: SparkSession) -> int:
-    """Delete the tables this process has staged so far and return how many there were.
+    """Delete what this process has put below the shared folder so far, staged tables and other
+    scratch files alike, and return how many paths there were.
 
     Frames built on them can no longer be read; call it when their results are written.
     """
-    jvm, count = spark._jvm, len(_staged)
-    while _staged:
-        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    jvm, count = spark._jvm, 0
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        count += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return count
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the Python workers, which import what tasks call.
+
+    Spark hands the archive to the executors itself, so it may lie on the driver alone; it stays
+    there until the driver ends, as executors that start later ask for it too.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root, folder = Path(__file__).resolve().parent, tempfile.mkdtemp(prefix="package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def broadcast_budget(spark: SparkSession) -> int:
     """Bytes a broadcast side may take: ``spark.shoalmark.broadcastBytes`` if set."""
     return int(spark.conf.get("spark.shoalmark.broadcastBytes", str(DEFAULT_BROADCAST_BYTES)))
