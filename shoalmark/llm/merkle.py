@@ -1,7 +1,7 @@
 """Merkle manifest of a dataset as a persistent tree, built and proved block by block.
 
 Every document is a leaf; the leaves of a language form a tree of fan-out 8 and the languages'
-roots a tree above. A tree is cut into aligned blocks of BLOCK nodes, BLOCK_LEVELS levels high.
+roots a tree above. A tree is cut into aligned blocks, BLOCK_LEVELS levels high.
 Round by round a task reduces each block to its top node, until each tree has one block. Then
 the way back: every block is handed the path of its top node, from the last round to the leaves.
 A tampered leaf is a version of its own: the block's tree stays as it is, only the ancestors of
@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -25,11 +26,11 @@ from shoalmark.operators.joins import sized_join
 from shoalmark.session import stage
 
 FANOUT = 8  # fixed value
-BLOCK_LEVELS = 3
-BLOCK = FANOUT ** BLOCK_LEVELS
+BLOCK_LEVELS = 3  # a block has up to 8**3 nodes
 COPIES = 4096  # equal leaves that one row stands for while leaves are put in order
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")  # fixed value
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ROWS_AT_ONCE = 512  # handed on by a task
 OFFSET_BYTES = 48  # of a row of offsets, without the tree's name
 
 # One sibling pair for each level upwards: digests left and right of the node in its run.
@@ -75,7 +76,7 @@ def leaves(documents: DataFrame) -> DataFrame:
 # --- places --------------------------------------------------------------------------
 
 
-def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+def numbered(rows: DataFrame, order: list[str], levels: int) -> DataFrame:
     """Nodes (NODE) from rows (tree, n, digest, name, doc_id, changed): ``n`` nodes each, placed
     from 0 within their tree by ``order``.
 
@@ -99,13 +100,13 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
                         counted=offsets.select("tree", "task", F.col("rows").alias("n")))
     copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
     placed = placed.withColumn("copy", copy).withColumn("place", F.col("earlier") + F.col("before") + F.col("copy"))
-    return nodes(placed)
+    return nodes(placed, levels)
 
 
-def nodes(placed: DataFrame) -> DataFrame:
+def nodes(placed: DataFrame, levels: int) -> DataFrame:
     return placed.select(
-        "tree", "total", F.expr(f"place div {BLOCK}").alias("block"),
-        (F.col("place") % BLOCK).cast("int").alias("slot"), "digest", "name", "doc_id", "changed")
+        "tree", "total", F.expr(f"place div {FANOUT ** levels}").alias("block"),
+        (F.col("place") % FANOUT ** levels).cast("int").alias("slot"), "digest", "name", "doc_id", "changed")
 
 
 def _count(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -132,9 +133,9 @@ class BlockTree:
     """The levels of one block, never changed once built; a version has its own copies of the
     ancestors of one leaf and shares all other nodes with the tree."""
 
-    def __init__(self, digests: list[str], total: int) -> None:
+    def __init__(self, digests: list[str], total: int, levels: int) -> None:
         self.levels = [digests]
-        while len(self.levels[-1]) > 1 if total <= BLOCK else len(self.levels) <= BLOCK_LEVELS:
+        while len(self.levels[-1]) > 1 if total <= FANOUT ** levels else len(self.levels) <= levels:
             below = self.levels[-1]
             self.levels.append([hashed("".join(below[i:i + FANOUT])) for i in range(0, len(below), FANOUT)])
 
@@ -182,7 +183,7 @@ def by_block(rows: DataFrame, each: Callable[[list[dict]], Iterator[dict]], sche
         waiting: list[dict] = []
         for block in blocks(batches):
             waiting += each(block)
-            if len(waiting) >= BLOCK:
+            if len(waiting) >= ROWS_AT_ONCE:
                 yield pa.RecordBatch.from_pylist(waiting, schema=target)
                 waiting = []
         if waiting:
@@ -199,6 +200,7 @@ def by_block(rows: DataFrame, each: Callable[[list[dict]], Iterator[dict]], sche
 class Forest:
     """Trees over ``rounds`` of nodes; each round's blocks, and those that end their tree."""
 
+    levels: int  # of a block
     rounds: list[DataFrame]
     ended: list[DataFrame]  # (tree, digest) of the trees that end in the round
 
@@ -210,29 +212,29 @@ class Forest:
         return roots
 
 
-def _top(block: list[dict]) -> Iterator[dict]:
+def _top(levels: int, block: list[dict]) -> Iterator[dict]:
     first = block[0]
     yield {"tree": first["tree"], "total": first["total"], "block": first["block"],
-           "digest": BlockTree([row["digest"] for row in block], first["total"]).top}
+           "digest": BlockTree([row["digest"] for row in block], first["total"], levels).top}
 
 
-def build(first_round: DataFrame) -> Forest:
-    """Reduce blocks to their top nodes, round by round, until each tree has one. A round has
-    1/BLOCK of the nodes of the round before."""
-    forest = Forest([], [])
+def build(first_round: DataFrame, levels: int) -> Forest:
+    """Reduce blocks to their top nodes, round by round, until each tree has one. A round has one
+    node for each block of the round before."""
+    forest, size = Forest(levels, [], []), FANOUT ** levels
     here = first_round
     while True:
-        tops = stage(by_block(here.select("tree", "total", "block", "slot", "digest"), _top,
+        tops = stage(by_block(here.select("tree", "total", "block", "slot", "digest"), partial(_top, levels),
                               "tree string, total long, block long, digest string"), "merkle-tops")
         forest.rounds.append(here)
-        forest.ended.append(tops.where(F.col("total") <= BLOCK).select("tree", "digest"))
-        rest = tops.where(F.col("total") > BLOCK)
+        forest.ended.append(tops.where(F.col("total") <= size).select("tree", "digest"))
+        rest = tops.where(F.col("total") > size)
         if rest.isEmpty():
             return forest
         none = [F.lit(None).cast("string").alias("name"), F.lit(None).cast("long").alias("doc_id"),
                 F.lit(None).cast("string").alias("changed")]
         here = nodes(rest.withColumnRenamed("block", "place").withColumn(
-            "total", F.expr(f"(total + {BLOCK - 1}) div {BLOCK}")).select("tree", "total", "place", "digest", *none))
+            "total", F.expr(f"(total + {size - 1}) div {size}")).select("tree", "total", "place", "digest", *none), levels)
 
 
 # --- and back ------------------------------------------------------------------------
@@ -242,22 +244,23 @@ def _pairs(path: list[dict]) -> list[tuple[str, str]]:
     return [(step["left"], step["right"]) for step in path]
 
 
-def _paths(block: list[dict]) -> Iterator[dict]:
-    """The whole path of each node of a block; the block's first row is its head."""
+def _paths(levels: int, block: list[dict]) -> Iterator[dict]:
+    """The whole path of each node of a block; the block's first row is its head. Only the leaves
+    of the upper tree have a name, that of the language whose root they are."""
     head, rows = block[0], block[1:]
-    tree = BlockTree([row["digest"] for row in rows], rows[0]["total"])
+    tree = BlockTree([row["digest"] for row in rows], rows[0]["total"], levels)
     above = _pairs(head["path"])
     for row in rows:
         path = tree.path(row["slot"]) + above
-        yield {"tree": row["tree"], "block": row["block"] * BLOCK + row["slot"], "name": row["name"],
+        yield {"tree": row["tree"], "block": row["block"] * FANOUT ** levels + row["slot"], "name": row["name"],
                "path": [{"left": a, "right": b} for a, b in path],
-               "subroot": head["subroot"] or row["digest"], "root": head["root"]}
+               "subroot": row["digest"] if row["name"] is not None else head["subroot"], "root": head["root"]}
 
 
-def _proofs(block: list[dict]) -> Iterator[dict]:
+def _proofs(levels: int, block: list[dict]) -> Iterator[dict]:
     """Each leaf's proof, and the root of the version in which only this leaf is tampered with."""
     head, rows = block[0], block[1:]
-    tree = BlockTree([row["digest"] for row in rows], rows[0]["total"])
+    tree = BlockTree([row["digest"] for row in rows], rows[0]["total"], levels)
     above = _pairs(head["path"])
     for row in rows:
         path = tree.path(row["slot"]) + above
@@ -282,11 +285,11 @@ def hand_down(forest: Forest, heads: DataFrame, each: Callable, schema: str) ->
         above = ends if lower is None else ends.unionByName(lower)
         rows = forest.rounds[number].unionByName(above.withColumn("slot", F.lit(-1)), allowMissingColumns=True)
         if number == 0:
-            return by_block(rows, each, schema)
-        lower = stage(by_block(rows, _paths, f"{HEAD}, name string"), "merkle-paths").drop("name")
+            return by_block(rows, partial(each, forest.levels), schema)
+        lower = stage(by_block(rows, partial(_paths, forest.levels), f"{HEAD}, name string"), "merkle-paths").drop("name")
 
 
-def manifest(documents: DataFrame) -> DataFrame:
+def manifest(documents: DataFrame, block_levels: int = BLOCK_LEVELS) -> DataFrame:
     """One row per document: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified, and
     copies, the nodes of the version in which its leaf is tampered with (its copied ancestors from
     below to the root; empty where nothing is tampered with).
@@ -298,12 +301,12 @@ def manifest(documents: DataFrame) -> DataFrame:
     their length does not matter after that; from then on rows are two digests and an id.
     """
     none = F.lit(None)
-    first = numbered(leaves(documents).withColumn("name", none.cast("string")), ["doc_id", "digest", "changed"])
-    languages = build(first)
+    first = numbered(leaves(documents).withColumn("name", none.cast("string")), ["doc_id", "digest", "changed"], block_levels)
+    languages = build(first, block_levels)
     subroots = stage(languages.roots, "merkle-subroots")
     upper = build(stage(numbered(subroots.select(
         F.lit("").alias("tree"), F.col("tree").alias("name"), "digest", none.cast("long").alias("doc_id"),
-        none.cast("string").alias("changed"), F.lit(1).cast("long").alias("n")), ["name"]), "merkle-upper"))
+        none.cast("string").alias("changed"), F.lit(1).cast("long").alias("n")), ["name"], block_levels), "merkle-upper"), block_levels)
     summit = upper.roots.select(
         "tree", F.array().cast(PATH).alias("path"), none.cast("string").alias("subroot"), F.col("digest").alias("root"))
     heads = stage(hand_down(upper, summit, _paths, f"{HEAD}, name string"), "merkle-heads")

@@ -19,9 +19,12 @@ CONTRACT = {
     "op9": "doc_id bigint, n_lines int, n_removed int, text_md5 string",
     "op10": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
             "base_failed boolean, kept boolean",
+    "op11": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
+    "op12": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+    "op13": "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output_sha256 string, restored_sha256 string",
 }
 BY_OP = {name.split("_")[0]: name for name in QUERIES}
-ONE_ROW_EACH = {"op1": ("pages", "page_id"), **{op: ("documents", "doc_id") for op in ("op5", "op6", "op7", "op8", "op9", "op10")}}
+ONE_ROW_EACH = {"op1": ("pages", "page_id"), **{op: ("documents", "doc_id") for op in ("op5", "op6", "op7", "op8", "op9", "op10", "op11", "op12", "op13")}}
 
 
 @pytest.mark.parametrize("op", sorted(CONTRACT))
