@@ -16,27 +16,35 @@ from shoalmark.operators.model import feature_columns, prediction_surface, train
 from shoalmark.operators.nearest import build_index
 from shoalmark.operators.profile import (
     column_profile, head_rows, missing_dates, modal_species, summary_statistics, yearly_counts)
+from shoalmark.operators.regions import within_wkt
 from shoalmark.operators.species import few_or_none, most_recorded, species_gate, suggestions
 from shoalmark.operators.training import ENVIRONMENT, shuffled, training_set, training_sets
 from shoalmark.schemas import OCEAN
 from shoalmark.session import configure, stage
-from shoalmark.sources.landing import first_records, landed_records, page_gaps, read_pages
+from shoalmark.sources.landing import (
+    PAGE_SIZE, first_records, land_pages, page_gaps, read_pages, stop_on_conflicts)
 from shoalmark.sources.models import save_model
 from shoalmark.sources.tables import (
     landed_years, read_csv, read_year_files, write_by_species, write_csv, write_landing, write_ocean,
     write_parquet)
 
 
-def land_occurrences(spark: SparkSession, pages_path: str, out_path: str,
-                     limit: int | None = None) -> dict[str, DataFrame]:
-    """Landed pages to the clean occurrence table, inside the study region.
+def land_occurrences(spark: SparkSession, pages_path: str, out_path: str, limit: int | None = None,
+                     region: str | None = None, page_size: int = PAGE_SIZE,
+                     keep_conflicts: bool = False) -> dict[str, DataFrame]:
+    """Landed pages to the clean occurrence table, inside the study region or one given as text.
 
     Keeps all records, or with ``limit`` those of the region that landed first. Stops if
-    nothing is left after cleaning. Also gives what cleaning removed and which pages lack.
+    nothing is left after cleaning, and if pages disagree on a record, unless
+    ``keep_conflicts``. Also gives what cleaning removed, which pages lack, and ``pages`` and
+    ``conflicts``: the audit of ``land_pages`` and the versions of records it did not take.
     """
     configure(spark)
     pages = read_pages(spark, pages_path)
-    inside = within_region(landed_records(pages))
+    landing = land_pages(pages, page_size)
+    if not keep_conflicts:
+        stop_on_conflicts(landing)
+    inside = within_region(landing.records) if region is None else within_wkt(landing.records, region)
     if limit is not None:
         inside = first_records(inside, limit)
     inside = stage(inside, "landed")
@@ -44,7 +52,8 @@ def land_occurrences(spark: SparkSession, pages_path: str, out_path: str,
     clean = spark.read.parquet(out_path)
     if clean.isEmpty():
         raise ValueError("no record is left after cleaning")
-    return {"occurrences": clean, "audit": cleaning_audit(inside), "gaps": page_gaps(pages)}
+    return {"occurrences": clean, "audit": cleaning_audit(inside), "gaps": page_gaps(pages, page_size),
+            "pages": landing.audit, "conflicts": landing.conflicts}
 
 
 def land_ocean_csv(spark: SparkSession, pattern: str, out_path: str) -> None:

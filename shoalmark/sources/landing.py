@@ -66,7 +66,7 @@ def land_pages(pages: DataFrame, page_size: int = PAGE_SIZE) -> Landing:
     distinct = stage(known.groupBy("offset", "n", "digest").agg(
         F.min("page").alias("first"), F.count(F.lit(1)).alias("copies")), "distinct-pages")
     ranges = distinct.withColumn("end", F.col("offset") + F.col("n"))
-    swept = stage(sweep(ranges.where("n > 0"), "offset", "end", ["digest"]), "page-ranges")
+    swept = sweep(ranges.where("n > 0"), "offset", "end", ["digest"])
     sizes = swept.groupBy("cluster").agg(F.count(F.lit(1)).alias("pages"), F.max("end").alias("cluster_end"))
     shared = stage(sizes.where("pages > 1"), "page-clusters")
 
@@ -118,13 +118,18 @@ def _audit(ranges: DataFrame, swept: DataFrame, shared: DataFrame, page_size: in
             .unionByName(problem(holes, "missing", "from", "offset", "offset - from")))
 
 
-def landed_records(pages: DataFrame) -> DataFrame:
-    """The records of ``land_pages``; raises if pages disagree on a place."""
-    landing = land_pages(pages)
+def stop_on_conflicts(landing: Landing) -> None:
+    """Raise if pages disagree on a place."""
     found = landing.conflicts.select("occ_id").limit(3).collect()
     if found:
         places = ", ".join(str(r.occ_id) for r in found)
         raise ValueError(f"pages overlap and disagree, first at places {places}: see land_pages")
+
+
+def landed_records(pages: DataFrame) -> DataFrame:
+    """The records of ``land_pages``; raises if pages disagree on a place."""
+    landing = land_pages(pages)
+    stop_on_conflicts(landing)
     return landing.records
 
 

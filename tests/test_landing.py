@@ -47,6 +47,21 @@ def test_conflicts_keep_the_page_that_begins_first(spark, tmp_path):
         landed_records(pages)
 
 
+def test_the_pipeline_stops_on_conflicts_or_hands_them_on(spark, tmp_path):
+    record = {"species": "a", "decimalLatitude": 10.0, "decimalLongitude": 70.0}
+    lines = [{"offset": 0, "results": [record, record]}, {"offset": 1, "results": [{**record, "species": "b"}, record]}]
+    (tmp_path / "p.json").write_text("\n".join(map(json.dumps, lines)))
+    with pytest.raises(ValueError, match="disagree, first at places 1"):
+        pipelines.land_occurrences(spark, str(tmp_path), scratch_path(spark, "clean"))
+    landed = pipelines.land_occurrences(spark, str(tmp_path), scratch_path(spark, "clean"), page_size=2, keep_conflicts=True)
+    assert rows(landed["occurrences"].select("occ_id", "species")) == [(0, "a"), (1, "a"), (2, "a")]
+    assert rows(landed["conflicts"].select("occ_id", "species")) == [(1, "b")]
+    assert rows(landed["pages"].select("problem")) == [("overlap",)]
+    away = "POLYGON((0 0, 1 0, 1 1, 0 0))"
+    with pytest.raises(ValueError, match="no record"):
+        pipelines.land_occurrences(spark, str(tmp_path), scratch_path(spark, "clean"), region=away, keep_conflicts=True)
+
+
 def test_a_page_above_the_size_is_told_and_landed(spark, tmp_path):
     records, conflicts, audit = parts(land_pages(land(spark, tmp_path, [(0, "abcdef"), (4, "ef"), (9, "j")]), 4))
     assert records == [*enumerate("abcdef"), (9, "j")] and conflicts == []
