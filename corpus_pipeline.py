@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoalmark.llm import language, line_dedup, near_dup, packing, quality, queries
-from shoalmark.llm.common import ship_package
-from shoalmark.session import configure, stage
+from shoalmark.session import configure, ship_package, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
