@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoalmark.llm.common import in_arrow
-from shoalmark.llm.tokenizer_files import with_offsets
+from shoalmark.llm.tokenizer_files import encode_with_offsets
 
 # The template: each turn is <turn ROLE>TEXT</turn> and a line end. Inside a role or a text
 # a backslash stands before every backslash and angle bracket, so no marker can be forged
@@ -49,14 +49,15 @@ def render(turns: list[tuple[str, str]], learn: str) -> tuple[str, list[tuple[in
     return "".join(parts), spans
 
 
-def parse(formatted: str) -> list[tuple[str, str]]:
-    """The turns of a formatted conversation; raises if any part of it is not a turn."""
+def parse(formatted: str) -> list[tuple[str, str, int, int]]:
+    """Role and text of each turn, and where the text begins and ends in the formatted
+    conversation; raises if any part of it is not a turn."""
     turns, at = [], 0
     while at < len(formatted):
         found = TURN.match(formatted, at)
         if not found:
             raise ValueError(f"no turn at character {at}")
-        turns.append((unescape(found[1]), unescape(found[2])))
+        turns.append((unescape(found[1]), unescape(found[2]), *found.span(2)))
         at = found.end()
     return turns
 
@@ -67,34 +68,42 @@ def token_ranges(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, in
             if b > a else (0, 0) for a, b in spans]
 
 
-def masked_spans(starts: np.ndarray, ends: np.ndarray, loss: np.ndarray,
-                 texts: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The characters under the mask: masked tokens cut to the texts, each character once.
+def masked_text(formatted: str, texts: list[tuple[int, int]], starts: np.ndarray, ends: np.ndarray,
+                loss: np.ndarray) -> str:
+    """All characters under the mask, each once, but for markers in tokens that a text shares.
 
-    A character spread over several tokens occurs in the span of each of them.
+    Only where a masked token has a character of some turn's text can the markers in it be the
+    template's doing. A masked token of markers alone, or over a text that is not to be learned,
+    is a wrong mask, and its characters are there.
     """
-    out = []
-    for a, b in texts:
-        low, high = token_ranges(starts, ends, [(a, b)])[0]
-        under = np.flatnonzero(loss[low:high]) + low
-        reached = a
-        for s, e in zip(starts[under], ends[under]):
-            s, e = max(int(s), reached), min(int(e), b)
-            if e > s:
-                out.append((s, e))
-                reached = e
-    return out
+    n = len(formatted)
+    is_text = np.zeros(n + 1, dtype=np.int64)
+    for begin, end in texts:
+        is_text[begin] += 1
+        is_text[end] -= 1
+    is_text = np.cumsum(is_text)[:n] > 0
+    before = np.concatenate([[0], np.cumsum(is_text)])
+
+    def covered(tokens: np.ndarray) -> np.ndarray:
+        change = np.bincount(starts[tokens], minlength=n + 1) - np.bincount(ends[tokens], minlength=n + 1)
+        return np.cumsum(change)[:n] > 0
+
+    shared = before[ends] > before[starts]
+    under = covered(loss & shared) & is_text | covered(loss & ~shared)
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], under.astype(np.int8), [0]])))
+    return "".join(formatted[a:b] for a, b in edges.reshape(-1, 2).tolist())
 
 
 def format_chats(conversations: DataFrame, tokenizer_path: str, learn: str = "assistant") -> DataFrame:
     """One row per conversation: text, token ids, token spans in characters, loss flags.
 
     ``loss`` is true for every token that shares a character with a text of the role
-    ``learn``; the span of a token across a marker reaches beyond the text, so readers cut
-    to it. Turns go by (turn, role, text) with null turns first; null roles and texts count
+    ``learn``; the span of a token across a marker reaches beyond the text, so readers leave out
+    the markers there. Turns go by (turn, role, text) with null turns first; null roles and texts count
     as empty; repeated rows are turns of their own; rows with a null conv_id form one
     conversation; an empty table gives no rows. A conversation is one training example, so
-    its turns meet in one task.
+    its turns meet in one cell of one task: its texts must stay below 2 GB together, and the task
+    needs some 60 times their size for tokens and offsets.
     """
     turns = conversations.select(
         F.col("conv_id").cast("long"),
@@ -108,36 +117,35 @@ def format_chats(conversations: DataFrame, tokenizer_path: str, learn: str = "as
                     for turns in batch["turns"].to_pylist()]
         out: dict = {name.split()[0]: [] for name in CHATS.split(", ")}
         out["conv_id"] = batch["conv_id"]
-        tokenizer = with_offsets(tokenizer_path)
         for text, spans in rendered:
-            encoded = tokenizer.encode(text, add_special_tokens=False)
-            offsets = np.array(encoded.offsets, dtype=np.int32).reshape(-1, 2)
-            loss = np.zeros(len(offsets), dtype=bool)
-            for low, high in token_ranges(offsets[:, 0], offsets[:, 1], spans):
+            ids, starts, ends = encode_with_offsets(text, tokenizer_path)
+            loss = np.zeros(len(ids), dtype=bool)
+            for low, high in token_ranges(starts, ends, spans):
                 loss[low:high] = True
-            for name, value in (("formatted", text), ("ids", encoded.ids), ("loss", loss),
-                                ("token_start", offsets[:, 0]), ("token_end", offsets[:, 1])):
+            for name, value in (("formatted", text), ("ids", ids), ("loss", loss),
+                                ("token_start", starts), ("token_end", ends)):
                 out[name].append(value)
         return out
 
     return in_arrow(whole, rows, CHATS)
 
 
-def read_back(chats: DataFrame, learn: str = "assistant") -> DataFrame:
-    """Digests of formatted conversations, from nothing but the output of ``format_chats``."""
+def read_back(chats: DataFrame) -> DataFrame:
+    """Digests of formatted conversations, from nothing but the output of ``format_chats``: the
+    turns from the text, what is learned from the mask (``masked_text``)."""
 
     def rows(batch: pa.RecordBatch) -> dict:
         out: dict = {name.split()[0]: [] for name in DIGESTS.split(", ")}
         out["conv_id"] = batch["conv_id"]
         for k, text in enumerate(batch["formatted"].to_pylist()):
             turns = parse(text)
-            _, texts = render(turns, learn)
             starts, ends, loss = (batch[name][k].values.to_numpy(zero_copy_only=False)
                                   for name in ("token_start", "token_end", "loss"))
-            learned = "".join(
-                unescape("".join(text[a:b] for a, b in masked_spans(starts, ends, loss, [span])))
-                for span in texts)
-            said = "".join(f"{role}\n{body}\n" for role, body in turns)
+            under = masked_text(text, [turn[2:] for turn in turns], starts, ends, loss)
+            learned = unescape(under)
+            if escape(learned) != under:  # part of an escape is not under the mask, or a marker is
+                learned = under
+            said = "".join(f"{role}\n{body}\n" for role, body, _, _ in turns)
             for name, value in (("n_turns", len(turns)), ("loss_chars", len(learned)),
                                 ("turns_sha256", hashlib.sha256(said.encode()).hexdigest()),
                                 ("loss_sha256", hashlib.sha256(learned.encode()).hexdigest()),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import json
 
+import numpy as np
 import tiktoken
 import tokenizers
 
@@ -37,6 +38,29 @@ def byte_level_encoder(path: str) -> tiktoken.Encoding:
                              special_tokens=special)
 
 
+@functools.lru_cache(maxsize=4)
+def token_lengths(path: str) -> np.ndarray:
+    """Bytes that each id of a byte-level file stands for."""
+    encoder = byte_level_encoder(path)
+    return np.array([len(encoder.decode_single_token_bytes(i)) for i in range(encoder.n_vocab)], dtype=np.int64)
+
+
+def encode_with_offsets(text: str, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of a text by a byte-level file, and where each token starts and ends in characters.
+
+    Ids take all bytes of the text in order, so offsets follow from the lengths of the tokens. A
+    character spread over several tokens is in the span of each. Special strings are plain text.
+    """
+    ids = np.array(byte_level_encoder(path).encode_ordinary(text), dtype=np.int32)
+    lengths = token_lengths(path)[ids]
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    if len(ids) and not text.isascii():
+        character = np.cumsum(np.frombuffer(text.encode(), dtype=np.uint8) & 0xC0 != 0x80) - 1
+        starts, ends = character[starts], character[ends - 1] + 1
+    return ids, starts.astype(np.int32), ends.astype(np.int32)
+
+
 @functools.lru_cache(maxsize=4)
 def with_offsets(path: str) -> tokenizers.Tokenizer:
     """The library's own tokenizer, as its file has it, without truncation or padding."""
