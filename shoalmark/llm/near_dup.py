@@ -15,13 +15,15 @@ are put together first and stand in for each other.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoalmark.llm.common import hash_words, in_arrow, left_join_sized, text_key, words
@@ -121,52 +123,43 @@ def in_size(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.minimum(a, b) >= SIMILARITY * np.maximum(a, b)
 
 
-def edits(a: Sequence, b: Sequence, band: int, run: int) -> tuple[int, int] | None:
-    """Fewest insertions and deletions from ``a`` to ``b`` if at most ``band``, and the matched
-    runs' length counted in windows of ``run``.
+def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """The most shingles that an alignment matches within ``band`` of the diagonal.
 
-    Walks furthest-reaching diagonals, which all lie within ``band`` of the main one.
+    Both texts hold each shingle once, so that is the longest increasing subsequence of the places
+    in ``b`` of the shingles of ``a``, found by the ends of the best subsequences of each length:
+    its work is n log n however the texts differ.
     """
-    n, m = len(a), len(b)
-    reach = {1: (0, 0)}
-    for d in range(band + 1):
-        for k in range(-d, d + 1, 2):
-            down, right = reach.get(k + 1, (-1, 0)), reach.get(k - 1, (-2, 0))
-            x, score = down if k == -d or (k != d and (right[0] + 1, right[1]) < down) else (right[0] + 1, right[1])
-            y = x - k
-            start = x
-            while x < n and 0 <= y < m and a[x] == b[y]:
-                x += 1
-                y += 1
-            reach[k] = (x, score + max(0, x - start - run + 1))
-            if x >= n and y >= m:
-                return d, reach[k][1]
-    return None
+    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    order = np.argsort(i)
+    places = j[order][np.abs(i - j)[order] <= band]
+    if (places[1:] > places[:-1]).all():
+        return len(places)
+    ends: list[int] = []
+    for place in places.tolist():
+        if not ends or place > ends[-1]:
+            ends.append(place)
+        else:
+            ends[bisect_left(ends, place)] = place
+    return len(ends)
 
 
 def similar(a: list[bytes], b: list[bytes]) -> bool:
     """Whether aligned shingles reach ``SIMILARITY``; exact.
 
-    The shingles in common, in any order, bound the aligned ones from above. In texts that
-    repeat no shingle those in an alignment of words bound them from below. Only between the
-    two the shingles themselves are aligned, within the band that the similarity allows.
+    An alignment that reaches it leaves few shingles of either text unmatched, and none of its
+    pairs can be further from the diagonal than that; so the rest of the table is not looked at.
     """
     if a == b:
         return True
     if min(len(a), len(b)) < SHINGLE:
         return False
-    sa, sb = (list(dict.fromkeys(shingle_hashes(x).tolist())) for x in (a, b))
+    sa, sb = (occurrences(shingle_hashes(x))[1] for x in (a, b))
     total = len(sa) + len(sb)
-    enough = lambda matched: matched >= SIMILARITY * (total - matched)
-    if not enough(len(set(sa).intersection(sb))):
+    if not in_size(len(sa), len(sb)):
         return False
-    band = int(total - 2 * SIMILARITY * total / (1 + SIMILARITY)) + 1
-    if total == len(a) + len(b) - 2 * (SHINGLE - 1):
-        by_words = edits(a, b, band, SHINGLE)
-        if by_words and enough(by_words[1]):
-            return True
-    by_shingles = edits(sa, sb, band, 1)
-    return by_shingles is not None and enough((total - by_shingles[0]) // 2)
+    matched = aligned(sa, sb, int(total * (1 - SIMILARITY) / (1 + SIMILARITY)) + 1)
+    return matched >= SIMILARITY * (total - matched)
 
 
 def profiles(documents: DataFrame) -> DataFrame:
@@ -252,8 +245,8 @@ def verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
-    """(key, bucket, n) of every sketch that n > 1 nodes share."""
-    members = stage(nodes.select("key", F.explode("sketches").alias("bucket")), "members")
+    """(key, size, bucket, n) of every sketch that n > 1 nodes share."""
+    members = stage(nodes.select("key", "size", F.explode("sketches").alias("bucket")), "members")
     sizes = stage(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
     return stage(left_join_sized(members, sizes, ["bucket"], sizes.count() * 16).where("n is not null"), "shared")
 
@@ -269,16 +262,34 @@ def pivot_pairs(members: DataFrame) -> DataFrame:
 def cross_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of bucket members in different components that their signatures allow.
 
-    A bucket of many members is cut into blocks, and each task compares two blocks.
+    A bucket of many members is cut into blocks, and each task compares two blocks. Sizes of one
+    class differ by less than the similarity allows, and those of classes that are not neighbours
+    by more, so only blocks of one class or of neighbours meet.
     """
     rooted = left_join_sized(members, roots.withColumnRenamed("node", "key"), ["key"], roots.count() * 24)
     rooted = stage(rooted.withColumn("root", F.coalesce("root", "key")), "rooted")
     split = stage(rooted.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"))
                   .where("a <> b").select("bucket", F.lit(True).alias("split")), "split")
     parted = left_join_sized(rooted, split, ["bucket"], split.count() * 16).where("split")
-    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    blocked = parted.withColumn("block", F.pmod(F.xxhash64("key"), blocks).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+    parted = parted.withColumn("class", F.when(
+        F.col("n") > BLOCK_ROWS, F.floor(F.log("size") / -math.log(SIMILARITY))).otherwise(0).cast("long"))
+    in_order = Window.partitionBy("bucket").orderBy("class")
+    beside = lambda row, step: F.when(
+        row("class").over(in_order) == F.col("class") + step, row("blocks").over(in_order))
+    classes = parted.where(F.col("n") > BLOCK_ROWS).groupBy("bucket", "class").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
+    classes = stage(classes.select("bucket", "class", "blocks", beside(F.lag, -1).alias("below"), beside(F.lead, 1).alias("above")),
+                    "classes-of-size")
+    parted = left_join_sized(parted, classes, ["bucket", "class"], classes.count() * 40).withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+
+    def numbers(size_class: Column, blocks: str) -> Column:
+        """The numbers of a class's blocks, none if there is no such class."""
+        first = size_class * F.lit(1 << 32)
+        return F.coalesce(F.sequence(first, first + F.col(blocks) - 1), F.array().cast("array<bigint>"))
+
+    mine = F.col("class") * F.lit(1 << 32) + F.pmod(F.xxhash64("key"), "blocks")
+    others = F.concat(numbers(F.col("class"), "blocks"), numbers(F.col("class") - 1, "below"), numbers(F.col("class") + 1, "above"))
+    blocked = parted.withColumn("block", mine).withColumn("other", F.explode(others)).select(
         "bucket", "key", "root", "block",
         F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     blocked = blocked.join(nodes.select("key", *SIDE), "key")
@@ -312,7 +323,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     equal. Null texts and texts without a word are alone in a class each for itself. Rows that
     repeat doc_id and text have one key and one class. An empty table gives no rows.
 
-    Candidates come from sketches: a pair at 0.8 has a chance of about 1e-6 to share none.
+    Candidates come from sketches: a pair at 0.8 shares none with a chance of about 1e-7 (up to
+    1e-3 where texts repeat themselves or have a handful of words). A very long text is one row
+    of its task, with 8 bytes of hashes for each of its words; aligning two takes n log n.
     """
     profile = stage(profiles(documents), "profiles")
     copies = stage(profile.where(F.col("exact").isNotNull()).groupBy("exact").agg(F.min("key").alias("key")), "copies")

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -183,3 +184,43 @@ def test_signatures_five_deviations_apart_pass(total):
     bits = np.arange(m) < mean + 5.5 * np.sqrt(variance)
     apart = np.packbits(bits).view(np.uint64)
     assert near_dup.close(np.zeros_like(apart), apart[None], np.array([total]))[0]
+
+
+def test_long_texts_are_aligned_in_n_log_n():
+    rng = random.Random(7)
+    tokens = [f"w{rng.randrange(10**6)}".encode() for _ in range(60_000)]
+    start = time.perf_counter()
+    assert not near_dup.similar(tokens, tokens[30_000:] + tokens[:30_000])
+    assert near_dup.similar(tokens, tokens[2000:] + tokens[:2000])
+    moved = tokens[:20_000] + tokens[21_000:50_000] + tokens[20_000:21_000] + tokens[50_000:]
+    assert near_dup.similar(tokens, moved)
+    assert time.perf_counter() - start < 3
+
+
+def test_aligned_equals_the_full_table():
+    rng = random.Random(8)
+    for _ in range(300):
+        a = np.array(rng.sample(range(60), rng.randint(1, 40)), dtype=np.uint64)
+        b = np.array(rng.sample(range(60), rng.randint(1, 40)), dtype=np.uint64)
+        row = [0] * (len(b) + 1)
+        for x in a:
+            above = row[:]
+            for j, y in enumerate(b, 1):
+                row[j] = above[j - 1] + 1 if x == y else max(above[j], row[j - 1])
+        assert near_dup.aligned(a, b, 100) == row[-1]
+
+
+def test_pages_of_one_template_stay_apart(frame, monkeypatch):
+    """They share sketches, so that buckets are large, but only those with one text of their own
+    are linked; sizes run over several classes."""
+    monkeypatch.setattr(near_dup, "BLOCK_ROWS", 100)
+    rng = random.Random(10)
+    template = [f"t{i}" for i in range(120)]
+    own = [[f"p{page}x{i}" for i in range(rng.choice([40, 60, 90, 140, 200]))] for page in range(700)]
+    texts = [" ".join([*template, *words]) for words in own]
+    copies = [" ".join([*template, *edited(rng, own[page], 1)]) for page in range(0, 700, 50)]
+    df = frame(list(enumerate(texts + copies)), "doc_id long, text string")
+    found = {}
+    for r in near_dup.near_duplicates(df).collect():
+        found.setdefault(r.class_id, set()).add(r.doc_id)
+    assert {tuple(sorted(c)) for c in found.values() if len(c) > 1} == {(page, 700 + page // 50) for page in range(0, 700, 50)}
