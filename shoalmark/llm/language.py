@@ -21,6 +21,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from shoalmark.llm.common import remainder, remainder_column
+from shoalmark.session import stage
 
 UNDETERMINED = "und"
 # The bounds of the sample that the model is fitted on, for each language.
@@ -29,8 +30,9 @@ SAMPLE_LINES = 600
 SAMPLE_CHARS = 2000  # of one line
 TABLE_BITS = 18
 GRAMS = (2, 3, 4)  # with the marks of a word's ends these hold affixes of up to three letters
-CHAIN = 256  # words that are labelled together at most; longer lines are several chains
+MOST_LANGUAGES = 256  # more languages than these are an error: weights are kept for each
 BATCH_WORDS = 60_000
+BATCH_CELLS = 240_000  # of a table of chains, which all have the length of the longest
 KEPT_WORDS = 150_000
 ROUNDS, RATE, DECAY = 40, 0.5, 1e-5
 WORD = re.compile(r"[^\W\d_]+")
@@ -166,10 +168,10 @@ class Labeller:
         for k, text in enumerate(texts):
             for line in text.lower().split("\n"):
                 found = [w for w in WORD.findall(line) if w.isalpha() or any(map(str.isalpha, w))]
-                for a in range(0, len(found), CHAIN):
-                    lines.append(found[a:a + CHAIN])
+                if found:
+                    lines.append(found)
                     owners.append(k)
-                    size += len(lines[-1])
+                    size += len(found)
                 if size >= BATCH_WORDS:
                     self._add(lines, owners, out)
                     lines, owners, size = [], [], 0
@@ -178,9 +180,15 @@ class Labeller:
         return out
 
     def _add(self, lines: list[list[str]], owners: list[int], out: np.ndarray) -> None:
-        chains = Chains.of([np.array(x) for x in self.numbers(lines)], owners)
-        share, _ = posteriors(chains, self.emission, self.step)
-        np.add.at(out, chains.owner, share.sum(axis=0))
+        """Lines of like length go through the field together, each as one chain."""
+        numbers = self.numbers(lines)
+        order = sorted(range(len(lines)), key=lambda i: -len(lines[i]))
+        while order:
+            many = max(1, BATCH_CELLS // len(lines[order[0]]))
+            some, order = order[:many], order[many:]
+            chains = Chains.of([np.array(numbers[i]) for i in some], [owners[i] for i in some])
+            share, _ = posteriors(chains, self.emission, self.step)
+            np.add.at(out, chains.owner, share.sum(axis=0))
 
 
 def _restored(languages: list[str], weights: np.ndarray, step: np.ndarray) -> Labeller:
@@ -189,7 +197,7 @@ def _restored(languages: list[str], weights: np.ndarray, step: np.ndarray) -> La
 
 def fit(lines: list[tuple[str, str]]) -> Labeller | None:
     """Fit the field to (text, language) lines by gradient ascent on the conditional likelihood."""
-    lines = [(WORD.findall(text.lower())[:CHAIN], language) for text, language in lines]
+    lines = [(WORD.findall(text.lower()), language) for text, language in lines]
     lines = [(words, language) for words, language in lines if words]
     if not lines:
         return None
@@ -232,10 +240,12 @@ def sample_lines(documents: DataFrame) -> list[tuple[str, str]]:
     """(line, lang) of a bounded sample: lines of documents chosen by a hash, for each language.
 
     Documents are counted first, so that about one and a half times the sample leaves the
-    scan, whatever the size of the table.
+    scan, whatever the size of the table. More than MOST_LANGUAGES languages raise.
     """
     labelled = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))  # a row per language
+    counts = stage(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("__n")), "languages")
+    if counts.count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} different values of lang")
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     drawn = labelled.join(F.broadcast(counts), "lang").withColumn("__draw", draw).where(
         F.col("__draw") * F.col("__n") < 1.5 * SAMPLE_DOCUMENTS)
@@ -272,7 +282,8 @@ def predict(documents: DataFrame, labeller: Labeller | None, folds: int = 4, hel
 
     ``score`` is the expected share of words in the predicted language; see ``judged`` for
     texts without one. A null doc_id is not held out. Each row stands for itself, so repeated
-    rows get the same result; an empty table gives no rows.
+    rows get the same result; an empty table gives no rows. Every line is one chain, however
+    long; a line takes 100 bytes a word for each four languages while it is worked on.
     """
     shared = documents.sparkSession.sparkContext.broadcast(labeller)
 

@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import zlib
 
@@ -103,3 +104,49 @@ def test_nothing_to_learn(frame):
     assert language.predict(frame([], schema), language.train(frame([], schema))).collect() == []
     df = frame([(1, "word", None)], schema)
     assert [(r.lang_pred, r.score) for r in language.predict(df, language.train(df)).collect()] == [("und", 0.0)]
+
+
+def plainly(labels, text):
+    """Label and score of a text, by forward-backward over each whole line in plain Python."""
+    n, expected = len(labels.languages), [0.0] * len(labels.languages)
+    step = labels.step.tolist()
+    for line in text.lower().split("\n"):
+        words = [w for w in language.WORD.findall(line) if any(map(str.isalpha, w))]
+        evidence = []
+        for word in words:
+            scores = labels.weights[language.word_features([word])[0]].sum(axis=0, dtype=np.float64)
+            evidence.append([max(math.exp(s - max(scores)), 1e-30) for s in scores])
+        forward = []
+        for t, e in enumerate(evidence):
+            now = [e[b] * (sum(forward[-1][a] * step[a][b] for a in range(n)) if t else 1.0) for b in range(n)]
+            forward.append([x / sum(now) for x in now])
+        after = [1.0] * n
+        for t in range(len(words) - 1, -1, -1):
+            both = [f * b for f, b in zip(forward[t], after)]
+            for a in range(n):
+                expected[a] += both[a] / sum(both)
+            back = [sum(step[a][b] * evidence[t][b] * after[b] for b in range(n)) for a in range(n)]
+            after = [x / sum(back) for x in back]
+    if not sum(expected):
+        return "und", 0.0
+    return labels.languages[expected.index(max(expected))], max(expected) / sum(expected)
+
+
+def test_labels_and_scores_equal_plain_forward_backward(frame, rows):
+    rng = random.Random(12)
+    long_line = " ".join(sentence(rng, rng.choice(sorted(PIECES)), 40) for _ in range(30))
+    cases = [*rows[:40], *rows[-9:], (2000, long_line, None), (2001, long_line + "\n" + sentence(rng, "cc", 700), None)]
+    df = frame(rows, "doc_id long, text string, lang string")
+    labels = language.train(df)
+    found = language.predict(frame(cases, "doc_id long, text string, lang string"), labels).collect()
+    by_id = {r.doc_id: (r.lang_pred, r.score) for r in found}
+    for doc_id, text, _ in cases:
+        label, score = plainly(labels, text or "")
+        assert by_id[doc_id] == (label, pytest.approx(score, abs=1e-5))
+
+
+def test_too_many_languages_raise(frame, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 5)
+    df = frame([(i, "word", f"l{i}") for i in range(7)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 5"):
+        language.train(df)
