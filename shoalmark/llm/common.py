@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import xxhash
@@ -19,26 +16,6 @@ from shoalmark.session import broadcast_budget
 SPACE_CLASS = "[\\x20\\x09-\\x0D]+"
 
 
-_shipped: set[str] = set()  # applications whose workers have the package
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the package to the Python workers, which import what tasks call.
-
-    Spark hands the archive to the executors itself, so it may lie on the driver alone.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(root.rglob("*.py")):
-            out.write(file, file.relative_to(root.parent))
-    context.addPyFile(str(archive))
-    _shipped.add(context.applicationId)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -66,6 +43,23 @@ def text_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id.cast("string"), F.sha2(text, 256))
 
 
+def other_columns(df: DataFrame, names: Iterable[str]) -> list[str]:
+    """Columns but those of these names; Spark tells names apart without case."""
+    taken = {name.lower() for name in names}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
+def unused_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column has."""
+    taken = {c.lower() for c in df.columns}
+    free = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        free.append(name)
+    return free
+
+
 def in_arrow(df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """Apply ``rows`` (batch to columns by name) to each Arrow batch of ``df``."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shoalmark.llm.common import left_join_sized, text_key
+from shoalmark.llm.common import left_join_sized, other_columns, text_key, unused_names
+from shoalmark.llm.quality import once
 from shoalmark.session import stage
 
 MIN_WORDS = 10
@@ -32,8 +33,9 @@ def line_rows(documents: DataFrame) -> DataFrame:
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.filter(F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("line"), x.alias("text"))),
                      lambda x: x["text"].rlike(WORD))
-    rows = documents.select(doc_id.alias("doc_id"), text_key(doc_id, text).alias("key"),
-                            F.posexplode(lines).alias("seq", "x"))
+    # The key first, as what stands beside a generator is worked out for each of its rows.
+    keyed = documents.select(doc_id.alias("doc_id"), text_key(doc_id, text).alias("key"), lines.alias("lines"))
+    rows = keyed.select("doc_id", "key", F.posexplode("lines").alias("seq", "x"))
     return rows.select("doc_id", "key", "seq", F.col("x.line").alias("line"),
                        F.xxhash64("x.text").alias("a"), F.hash("x.text").alias("b"),
                        F.regexp_count("x.text", F.lit(WORD)).alias("words"))
@@ -140,18 +142,19 @@ def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     same result. A null text stays null; an empty table gives no rows. Nothing is cut off
     from long texts; only a document's own lines ever meet in one task.
     """
-    removed = removed_lines(documents, min_words).groupBy("doc_id", "key").agg(
-        F.collect_list("line").alias("__removed")).withColumnRenamed("doc_id", "__doc").withColumnRenamed("key", "__key")
-    removed = stage(removed, "removed")
-    size = removed.agg(F.coalesce(F.sum(32 + 4 * F.size("__removed")), F.lit(0)).alias("n")).first().n
-    own = [c for c in documents.columns if c not in ("n_lines", "n_removed")]
+    doc, key, gone, lines = unused_names(documents, "__doc", "__key", "__removed", "__lines")
+    removed = stage(removed_lines(documents, min_words).groupBy("doc_id", "key").agg(F.collect_list("line").alias(gone)).select(
+        F.coalesce("doc_id", F.lit(0)).alias(doc), F.col("key").alias(key), gone), "removed")
+    size = removed.agg(F.coalesce(F.sum(32 + 4 * F.size(gone)), F.lit(0)).alias("n")).first().n
+    own = [f"`{c}`" for c in other_columns(documents, ("n_lines", "n_removed"))]
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = documents.select(*own, F.coalesce(doc_id, F.lit(0)).alias("__doc"), text_key(doc_id, text).alias("__key"))
-    joined = left_join_sized(keyed, removed.withColumn("__doc", F.coalesce("__doc", F.lit(0))),
-                             ["__doc", "__key"], size)
-    gone = F.coalesce("__removed", F.array().cast("array<int>"))
-    kept = F.array_join(F.filter(F.split(F.col("text").cast("string"), "\n", -1),
-                                 lambda x, i: ~F.array_contains(gone, i)), "\n")
+    keyed = documents.select(*own, F.coalesce(doc_id, F.lit(0)).alias(doc), text_key(doc_id, text).alias(key))
+    joined = left_join_sized(keyed, removed, [doc, key], size).withColumn(
+        gone, F.coalesce(gone, F.array().cast("array<int>"))).withColumn(lines, once(F.split(text, "\n", -1)))
+    # Numbers of the lines that stay, by hashing, and then the lines themselves.
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    kept = F.array_join(F.transform(stay, lambda i: F.get(F.col(lines), i)), "\n")
+    changed = F.when(F.size(gone) > 0, kept).otherwise(F.col("text"))
     return joined.select(
-        *(c for c in own if c != "text"), F.when(F.size(gone) > 0, kept).otherwise(F.col("text")).alias("text"),
-        F.size(F.split(text, "\n", -1)).alias("n_lines"), F.size(gone).alias("n_removed"))
+        *(c for c in own if c.lower() != "`text`"), changed.alias("text"),
+        F.size(lines).alias("n_lines"), F.size(gone).alias("n_removed"))

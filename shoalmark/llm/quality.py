@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoalmark.llm.common import other_columns, unused_names
+
 # Fixed values of the base counts: the six white-space characters between words and the
 # characters counted as symbols.
 SPACES = " \t\n\v\f\r"
@@ -138,21 +140,22 @@ def assess(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
              "kept", "clean_text")
-    own = [c for c in documents.columns if c not in added]
-    hidden = ("__words", "__lines", "__windows", "__places", "__clean")
-    step = documents.select(*own, once(split_words(text)).alias("__words"),
-                            once(lines_with_words(text)).alias("__lines"))
-    step = step.withColumn("__windows", once(F.sort_array(packed_windows(F.col("__words")))))
-    step = step.withColumn("__places", once(repeated_places(F.col("__words"), F.col("__windows"))))
-    step = step.withColumn("__clean", once(F.array_join(F.filter("__lines", line_passes), "\n")))
+    own = [f"`{c}`" for c in other_columns(documents, added)]
+    hidden = words, lines, windows, places, clean = unused_names(
+        documents, "__words", "__lines", "__windows", "__places", "__clean")
+    step = documents.select(*own, once(split_words(text)).alias(words),
+                            once(lines_with_words(text)).alias(lines))
+    step = step.withColumn(windows, once(F.sort_array(packed_windows(F.col(words)))))
+    step = step.withColumn(places, once(repeated_places(F.col(words), F.col(windows))))
+    step = step.withColumn(clean, once(F.array_join(F.filter(lines, line_passes), "\n")))
     chars = F.length(without(text, SPACES)).cast("long")
     counted = step.select(
-        *own, *hidden, F.size("__words").cast("long").alias("n_words"), chars.alias("word_chars"),
+        *own, *hidden, F.size(words).cast("long").alias("n_words"), chars.alias("word_chars"),
         count_of(text, SYMBOLS).cast("long").alias("n_symbols"),
-        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        words_covered(F.col("__places")).alias("n_repeat_words"))
+        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+        words_covered(F.col(places)).alias("n_repeat_words"))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    enough = F.length(without(F.col("__clean"), SPACES)) >= LEAST_KEPT * F.col("word_chars")
+    enough = F.length(without(F.col(clean), SPACES)) >= LEAST_KEPT * F.col("word_chars")
     return counted.select(
         *own, *added[:5], failed.alias("base_failed"), (~failed & enough).alias("kept"),
-        F.col("__clean").alias("clean_text"))
+        F.col(clean).alias("clean_text"))

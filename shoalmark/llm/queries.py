@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from shoalmark.llm import (
     bpe, chat, fill_in_middle, kd_search, language, line_dedup, lm, merkle, near_dup, packing, quality,
     secret_scan, warc)
-from shoalmark.llm.common import ship_package, table
-from shoalmark.session import configure
+from shoalmark.llm.common import table
+from shoalmark.session import configure, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

@@ -74,3 +74,23 @@ def test_maximal_runs_and_empty(frame):
     runs = line_dedup.maximal_runs(line_dedup.removed_lines(df)).collect()
     assert [(r.doc_id, r.first_line, r.n_lines) for r in runs] == [(2, 1, 6)]
     assert line_dedup.dedup_lines(frame([], "doc_id long, text string")).collect() == []
+
+
+def test_long_texts(frame):
+    lines = [f"line {i} of a long text with more than ten words" for i in range(30_000)]
+    other = lines[:12_000] + ["its own line"] + lines[12_000:]
+    df = frame([(1, "\n".join(lines)), (2, "\n".join(other))], "doc_id long, text string")
+    found = {r.doc_id: r for r in line_dedup.dedup_lines(df).collect()}
+    assert (found[1].n_removed, found[1].text) == (0, "\n".join(lines))
+    assert (found[2].n_lines, found[2].n_removed, found[2].text) == (30_001, 30_000, "its own line")
+
+
+def test_columns_with_the_names_of_helpers(frame):
+    from pyspark.sql import functions as F
+
+    passage = "\n".join(f"a line of the passage number {i}" for i in range(6))
+    df = frame([(1, passage), (2, passage)], "doc_id long, text string").withColumns(
+        {name: F.lit("mine") for name in ("__doc", "__KEY", "__removed", "__lines", "N_REMOVED", "N_lines")})
+    found = line_dedup.dedup_lines(df)
+    assert {r.n_removed for r in found.where("n_removed >= 0").collect()} == {0, 6}
+    assert {(r["__doc"], r["__KEY"], r["__removed"], r["__lines"]) for r in found.collect()} == {("mine",) * 4}

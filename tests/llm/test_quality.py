@@ -62,3 +62,11 @@ def test_copies_apart_within_one_hash(frame):
     ordered = [(5 << quality.PLACE_BITS) | place for place in (0, 50, 100)]
     df = frame([(words, ordered)], "words array<string>, ordered array<long>")
     assert df.select(quality.repeated_places(F.col("words"), F.col("ordered"))).first()[0] == [0, 100]
+
+
+def test_columns_with_other_case_and_the_names_of_helpers(frame):
+    text = "\n".join(f"w{i}a w{i}b w{i}c w{i}d." for i in range(40))
+    df = frame([(1, text)], "doc_id long, text string").withColumns(
+        {name: F.lit("mine") for name in ("KEPT", "Clean_Text", "__words", "__LINES", "__windows", "__places", "__clean")})
+    row = quality.assess(df).where("kept").first()
+    assert row.kept is True and row.clean_text == text and row["__words"] == row["__LINES"] == "mine"
