@@ -243,7 +243,8 @@ def round_trip(documents: DataFrame, tokenizer_path: str) -> DataFrame:
 
     doc_id, n_tokens, ids_sha256 (of little-endian 32-bit ids), decoded_sha256 (of UTF-8).
     A null or empty text has no tokens and decodes to an empty text. Each row stands for
-    itself, so repeated rows and null ids need no rule; an empty table gives no rows.
+    itself, so repeated rows and null ids need no rule; an empty table gives no rows. A very long
+    text is one row of its task and takes time in proportion to its length.
     """
 
     def rows(batch: pa.RecordBatch) -> dict:

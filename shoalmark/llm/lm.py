@@ -33,7 +33,9 @@ ASKED_BYTES = 64 << 20  # n-grams that meet a slice of the filter at a time
 KNOWN_WORDS = 1 << 20  # most frequent words whose exact counts are broadcast: 16 MB
 COUNT_SLICE, SCORE_SLICE = 1_000_000, 250_000  # tokens that a task works on at a time
 UNIGRAM, BIGRAM = 0, 1
-LEAST_BIGRAM = 2  # bigrams seen once are not stored
+PART_BYTES = 32 << 20  # of counts that meet in a part, at most about
+MOST_TASK_BITS = 16  # tasks that count parts; beyond that a task counts several, one at a time
+TOKEN_BYTES = 5  # of text to a token, at least, in natural text
 WEIGHTS = np.array([0.001, 0.01, 0.03, 0.1, 0.2, 0.35, 0.5, 0.7, 0.85, 0.95, 0.99])
 
 # Hashes that no word has a part in: words hold no white space.
@@ -115,11 +117,19 @@ def training(docs: DataFrame, folds: int, held_fold: int) -> DataFrame:
     return docs.where(fold.isNull() | (fold != held_fold))
 
 
+def part_bits(docs: DataFrame) -> int:
+    """Parts (as a power of two) that keep about PART_BYTES of counts each, from the size of the
+    texts: a token leaves at most a word and a bigram of twelve bytes each in its task's counts."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("double"))).first()[0] or 0.0
+    return min(20, max(3, int(size / TOKEN_BYTES * 24 / PART_BYTES).bit_length()))
+
+
 def count_grams(docs: DataFrame, parts_bits: int) -> DataFrame:
     """Counts of all words and bigrams, in blocks of sorted hashes; one block per kind and part.
 
     Tasks count what they read, cut it by the hash's top bits and hand on blocks, so that a
-    frequent n-gram reaches its part once per task. Bigrams seen once in all are left out.
+    frequent n-gram reaches its part once per task. There are more parts and tasks for more text,
+    and a task holds one part at a time, so neither grows with the corpus.
     """
     shift = np.uint64(64 - parts_bits)
 
@@ -140,14 +150,13 @@ def count_grams(docs: DataFrame, parts_bits: int) -> DataFrame:
         kind = int(rows["kind"].iloc[0])
         hashes, counts = counted(np.frombuffer(b"".join(rows["hashes"]), np.uint64),
                                  np.frombuffer(b"".join(rows["counts"]), "<u4").astype(np.int64))
-        if kind == BIGRAM:
-            hashes, counts = hashes[counts >= LEAST_BIGRAM], counts[counts >= LEAST_BIGRAM]
         histogram = np.bincount(levels_of(counts), minlength=LEVELS + 1)
         return pd.DataFrame({"kind": [kind], "part": [int(rows["part"].iloc[0])], "hashes": [hashes.tobytes()],
                              "counts": [counts.astype("<i8").tobytes()], "histogram": [histogram.tolist()]})
 
     blocks = docs.select("text").mapInArrow(count, "kind int, part int, hashes binary, counts binary")
-    return stage(blocks.groupBy("kind", "part").applyInPandas(total, GRAMS), "grams")
+    dealt = blocks.repartition(1 << min(parts_bits, MOST_TASK_BITS), "kind", "part")
+    return stage(dealt.groupBy("kind", "part").applyInPandas(total, GRAMS), "grams")
 
 
 def positions(grams: np.ndarray, level: int, probe: int, parts_bits: int, bits: int) -> np.ndarray:
@@ -215,7 +224,7 @@ def stored_load(histogram: dict[int, np.ndarray], least: dict[int, int]) -> dict
 
 def all_levels() -> dict[int, int]:
     """Least levels at which every counted n-gram is stored."""
-    return {UNIGRAM: 1, BIGRAM: int(levels_of(np.array([LEAST_BIGRAM]))[0])}
+    return {UNIGRAM: 1, BIGRAM: 1}
 
 
 def bits_needed(histogram: dict[int, np.ndarray], at_least: int) -> int:
@@ -427,8 +436,7 @@ def prepare(docs: DataFrame, filter_bits: int | None, known_words: int) -> tuple
     the broadcast budget is not put together.
     """
     spark = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts_bits = min(16, max(6, (2 * partitions - 1).bit_length()))
+    parts_bits = part_bits(docs)
     grams = count_grams(docs, parts_bits)
     histogram = {k: np.zeros(LEVELS + 1, dtype=np.int64) for k in (UNIGRAM, BIGRAM)}
     for row in grams.select("kind", F.posexplode("histogram").alias("level", "n")).groupBy("kind", "level").agg(
@@ -511,8 +519,9 @@ def score(documents: DataFrame, folds: int = 7, held_fold: int = 2, filter_bits:
     empty table gives no rows; without training text both scores are 0. Words are told apart
     by 64-bit hashes. Exact counts of the ``known_words`` most frequent words are broadcast;
     the documents meet those of all other words in a join. The filter grows with the n-grams
-    and stores each of them at its level, but for bigrams seen once; only a caller that fixes
-    its size by ``filter_bits`` gets a coarser model from a larger corpus.
+    and stores each of them at its level; only a caller that fixes its size by ``filter_bits`` gets
+    a coarser model from a larger corpus. A very long text is hashed whole in its task, 8 bytes a
+    word and some ten times that while it is scored.
     """
     doc_id = F.col("doc_id").cast("long")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))

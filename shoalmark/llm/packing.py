@@ -188,7 +188,8 @@ def pack(documents: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id
     Returns a row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset
     (and ids, if asked for). Every input row is packed: repeated rows and ids are packed
     each for itself, a null or empty text is its end id alone, a null doc_id stays null, an
-    empty table gives no rows. Only doc_id and text are read, so other columns don't clash.
+    empty table gives no rows. Only doc_id and text are read, so other columns don't clash. A very
+    long text is encoded whole in its task and leaves it in pieces.
     """
     pieces = token_pieces(documents, tokenizer_path, capacity, end_id, with_ids)
     pieces = stage(pieces.withColumn("__row", F.monotonically_increasing_id()), "pieces")

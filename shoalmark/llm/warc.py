@@ -344,7 +344,8 @@ def round_trip(pages: DataFrame, least_bytes: int = 0, block_rows: int = 3000) -
     Returns RECORD rows, one per input row. A null html is an empty payload. Null urls sort
     first, null page_ids are captures without an id and never the response of another. Of
     rows that repeat the smallest page_id of a payload each is a response. An empty table
-    gives no rows. Only page_id, url and html are read.
+    gives no rows. Only page_id, url and html are read. A very long payload is one record, which
+    its task holds whole; an archive with it must stay below 2 GB (see ``write_archives``).
     """
     spark = pages.sparkSession
     archives, index_path = scratch_path(spark, "warc"), scratch_path(spark, "captures")

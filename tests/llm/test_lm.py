@@ -72,7 +72,7 @@ def test_score_equals_quantised_counts(spark, frame):
         total, tokens = 0.0, ["<s>", *words(text), "</s>"]
         for h, w in zip(tokens, tokens[1:]):
             share = (value(one[w]) + 1) / (model.tokens + model.types + 1)
-            pair = two[h, w] if two[h, w] >= 2 else 0
+            pair = two[h, w]
             weight = model.weights[lm.levels_of(np.array([one[h]]))[0]]
             total += math.log10(weight * min(1, value(pair) / max(value(one[h]), 1)) + (1 - weight) * share)
         assert found[doc_id] == pytest.approx(total, rel=1e-9)

@@ -70,7 +70,7 @@ def test_encoder_equals_the_library():
 
 def test_pack(frame):
     texts = ["", None, "the word " * 3000, "same text", "same text", "x" * 4000, "one two", None]
-    texts += ["lorem ipsum dolor " * k for k in range(60)]
+    texts += ["lorem ipsum dolor " * k for k in range(60)] + ["lorem ipsum dolor " * 20_000]
     docs = frame([(None if k == 7 else k // 2 * 2 if k in (3, 4) else k, t)
                   for k, t in enumerate(texts)], "doc_id long, text string")
     out = packing.pack(docs, PATH, with_ids=True).collect()
