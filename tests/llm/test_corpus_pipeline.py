@@ -28,7 +28,7 @@ def test_stages_in_order_and_registered(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language_id", "quality_rules", "line_dedup", "near_dedup", "best_fit_packing"]
     assert "pipeline" in contract.queries() and "pipeline" not in contract.oracle_sql()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in contract.queries() if re.match(r"op\d+_", q)}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in contract.queries() if re.match(r"op\d+_", q)}
 
 
 def test_columns_stay(results):
