@@ -1,3 +1,4 @@
+import functools
 import random
 import time
 
@@ -95,8 +96,14 @@ def classes(rows):
 
 @pytest.fixture(params=[1, 2])
 def case(request, frame):
-    rows = corpus(request.param)
-    return rows, frame(rows, "doc_id long, text string"), classes(rows)
+    rows, expected = truth(request.param)
+    return rows, frame(rows, "doc_id long, text string"), expected
+
+
+@functools.cache
+def truth(seed):
+    rows = corpus(seed)
+    return rows, classes(rows)
 
 
 def check(rows, df, expected):
