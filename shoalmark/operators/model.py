@@ -25,7 +25,9 @@ ROW_KEY = ("occ_id", "draw")
 # does not grow with the rows.
 MAX_DEPTH = 15
 LEAST_TASKS = 8
-LEAST_ROWS_PER_TASK, MOST_ROWS_PER_TASK, MANY_TASKS = 20_000, 2_000_000, 1_000
+# Each task sends its own counts of all open nodes, so tasks of few rows cost more than their rows.
+LEAST_ROWS_PER_TASK, MOST_ROWS_PER_TASK, MANY_TASKS = 100_000, 2_000_000, 1_000
+BYTES_PER_ROW, BYTES_PER_TREE = 128, 8  # a row's bins; its draws and its node in each tree
 
 
 def _features_ready(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -36,6 +38,11 @@ def feature_columns(model: PipelineModel) -> list[str]:
     return list(model.stages[0].getInputCols())
 
 
+def fitting_bytes(rows: int, trees: int = TREES) -> int:
+    """Memory in which the executors hold the rows of a fit between levels; beyond it they use disk."""
+    return rows * (BYTES_PER_ROW + BYTES_PER_TREE * trees)
+
+
 def fit_forest(training: DataFrame, features: Sequence[str], trees: int = TREES,
                seed: int = DEFAULT_SEED, max_depth: int = MAX_DEPTH) -> PipelineModel:
     """Fit on rows (features, ``presence``, row key).
@@ -43,7 +50,8 @@ def fit_forest(training: DataFrame, features: Sequence[str], trees: int = TREES,
     All settings of the forest are the same at every size of the data.
 
     The forest depends on how rows lie in partitions, so they are put by key hash into a
-    number of partitions that only the row count sets, sorted within each, and staged.
+    number of partitions that only the row count sets, sorted within each, and kept until
+    the forest has read them: for its classes, its splits, and its rows.
     Each row's node is kept between levels, as walking deep trees anew costs most; the
     lineage of that is cut by checkpoints in the shared folder.
     """
@@ -51,7 +59,7 @@ def fit_forest(training: DataFrame, features: Sequence[str], trees: int = TREES,
     rows = stage(rows, "forest-input")
     n = rows.count()
     tasks = max(LEAST_TASKS, min(n // LEAST_ROWS_PER_TASK, MANY_TASKS), n // MOST_ROWS_PER_TASK)
-    laid_out = rows.repartition(tasks, *ROW_KEY).sortWithinPartitions(*ROW_KEY)
+    laid_out = rows.repartition(tasks, *ROW_KEY).sortWithinPartitions(*ROW_KEY).persist()
     forest = RandomForestClassifier(
         labelCol="presence", featuresCol="features", numTrees=trees, seed=seed,
         impurity="gini", featureSubsetStrategy="sqrt", minInstancesPerNode=1,
@@ -59,7 +67,10 @@ def fit_forest(training: DataFrame, features: Sequence[str], trees: int = TREES,
         cacheNodeIds=True, checkpointInterval=10,
     )
     assemble = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[assemble, forest]).fit(laid_out)
+    try:
+        return Pipeline(stages=[assemble, forest]).fit(laid_out)
+    finally:
+        laid_out.unpersist()
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:

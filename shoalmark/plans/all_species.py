@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 
 from pyspark import inheritable_thread_target
@@ -13,11 +13,11 @@ from shoalmark.functions.numbers import DEFAULT_SEED
 from shoalmark.operators.evaluation import report_by
 from shoalmark.operators.forest import score_by_nodes, score_points
 from shoalmark.operators.grid import GRID_STEPS
-from shoalmark.operators.model import ROW_KEY, TREES, features_for, fit_forest, surface_points
+from shoalmark.operators.model import ROW_KEY, TREES, features_for, fit_forest, fitting_bytes, surface_points
 from shoalmark.operators.nearest import build_index
 from shoalmark.operators.split import assign_split
 from shoalmark.operators.training import COORDINATES, ENVIRONMENT, training_sets
-from shoalmark.session import configure, scratch_path, stage
+from shoalmark.session import configure, fitting_budget, scratch_path, stage
 from shoalmark.sources.models import all_nodes, register_model, registry
 from shoalmark.sources.tables import write_by_species
 
@@ -30,7 +30,8 @@ def split_all(fused: DataFrame, with_environment: bool = True, seed: int = DEFAU
     reads its own folder only. Stops if two species share a folder's name."""
     rows = stage(training_sets(fused, with_environment, seed=seed), "training")
     path = scratch_path(fused.sparkSession, "split")
-    write_by_species(assign_split(rows, "presence", ROW_KEY, by=["species"], seed=seed), path)
+    split = assign_split(rows, "presence", ROW_KEY, by=["species"], seed=seed)
+    write_by_species(split, path, names=rows)
     return fused.sparkSession.read.parquet(path)
 
 
@@ -54,17 +55,21 @@ def model_all(fused: DataFrame, base: str, with_environment: bool = True, trees:
         model = fit_forest(rows, features_for(one.n, with_environment), trees, seed)
         register_model(model, spark, base, one.species, one.species_key, one.n_train)
 
-    side_by_side(spark, todo.orderBy(F.desc("n"), "species").toLocalIterator(), fit, parallel)
+    side_by_side(spark, todo.orderBy(F.desc("n"), "species").toLocalIterator(), fit, parallel,
+                 lambda one: fitting_bytes(one.n_train, trees), fitting_budget(spark))
     features = FEATURES if with_environment else COORDINATES
     tested = score_by_nodes(split.where("role <> 'train'").drop("species_key"), all_nodes(spark, base), features)
     report = report_by(tested.withColumnRenamed("presence", "label"), ["species"])
     return registry(spark, base).drop("species_key", "n_features").join(report, "species")
 
 
-def side_by_side(spark: SparkSession, todo: Iterator[Row], run, parallel: int) -> None:
+def side_by_side(spark: SparkSession, todo: Iterator[Row], run: Callable[[Row], None], parallel: int,
+                 size: Callable[[Row], int] = lambda one: 0, budget: int = 0) -> None:
     """``run`` on each of ``todo``, up to ``parallel`` at a time, each in a scheduler pool of its
     own: with fair scheduling the fits share the cluster, otherwise one fills what another leaves
-    idle. Holds as many names as run at once. The first failure stops what has not begun.
+    idle. Together they take at most ``budget`` by their ``size``, so that they do not push each
+    other's rows to disk; one beyond it runs alone, as it fills the cluster by itself. Holds as many
+    names as run at once. The first failure stops what has not begun.
     """
     free = [f"fit-{number}" for number in range(parallel)]
 
@@ -73,15 +78,16 @@ def side_by_side(spark: SparkSession, todo: Iterator[Row], run, parallel: int) -
         run(one)
 
     with ThreadPoolExecutor(parallel) as threads:
-        running: dict[Future, str] = {}
+        running: dict[Future, tuple[str, int]] = {}
         for one in todo:
-            if not free:
+            own = size(one)
+            while not free or (running and own + sum(taken for _, taken in running.values()) > budget):
                 done, _ = wait(running, return_when=FIRST_COMPLETED)
                 for finished in done:
-                    free.append(running.pop(finished))
+                    free.append(running.pop(finished)[0])
                     finished.result()
             pool = free.pop()
-            running[threads.submit(inheritable_thread_target(spark)(in_pool), one, pool)] = pool
+            running[threads.submit(inheritable_thread_target(spark)(in_pool), one, pool)] = pool, own
         for finished in running:
             finished.result()
 

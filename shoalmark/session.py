@@ -12,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_FITTING_BYTES = 4 * 1024 ** 3
 _scratch: list[str] = []  # paths this process has made in the shared folder
 _shipped: set[str] = set()  # applications whose workers have the package
 
@@ -93,3 +94,8 @@ def ship_package(spark: SparkSession) -> None:
 def broadcast_budget(spark: SparkSession) -> int:
     """Bytes a broadcast side may take: ``spark.shoalmark.broadcastBytes`` if set."""
     return int(spark.conf.get("spark.shoalmark.broadcastBytes", str(DEFAULT_BROADCAST_BYTES)))
+
+
+def fitting_budget(spark: SparkSession) -> int:
+    """Bytes that models fitted side by side may hold in all executors: ``spark.shoalmark.fittingBytes`` if set."""
+    return int(spark.conf.get("spark.shoalmark.fittingBytes", str(DEFAULT_FITTING_BYTES)))

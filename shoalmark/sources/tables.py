@@ -234,12 +234,13 @@ def stack_tables(*tables: DataFrame) -> DataFrame:
     return stacked
 
 
-def write_by_species(df: DataFrame, path: str) -> None:
+def write_by_species(df: DataFrame, path: str, names: DataFrame | None = None) -> None:
     """One folder per species key, replaced where it exists; common species get several files.
 
-    Raises if two species share a key, as one would replace or mix with the other.
+    Raises if two species share a key, as one would replace or mix with the other. ``names`` has
+    the species of ``df`` (column ``species``) where reading them there costs less.
     """
-    clashes = key_collisions(df).limit(5).collect()
+    clashes = key_collisions(df if names is None else names).limit(5).collect()
     if clashes:
         raise ValueError(f"species with the same key: {', '.join(c.species_key for c in clashes)}")
     (

@@ -1,6 +1,7 @@
 """Forests as tables of nodes, and models of all species."""
 
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from shoalmark.plans import all_species
 from shoalmark.plans.fixtures import view
 from shoalmark.plans.queries import node_scores
 from shoalmark.session import scratch_path, stage
+from shoalmark.sources import tables
 from shoalmark.sources.models import all_nodes, load_model, registry, save_model
 
 
@@ -125,3 +127,48 @@ def test_all_species_are_fitted_once_and_reported(spark, monkeypatch):
     pairs = direct.select("cell_id", F.col("p").alias("q")).join(cells, "cell_id").select("p", "q").collect()
     assert len(pairs) == 400 and all(abs(r.p - r.q) <= 1e-12 for r in pairs)
     assert all_nodes(spark, base).select("species").distinct().count() == len(names)
+
+
+def test_fits_side_by_side_stay_within_the_budget(spark):
+    lock, now, seen = threading.Lock(), [], []
+
+    def run(n):
+        with lock:
+            now.append(n)
+            seen.append(list(now))
+        time.sleep(0.2)
+        with lock:
+            now.remove(n)
+
+    all_species.side_by_side(spark, iter([9, 4, 3, 2, 1, 1]), run, 3, lambda n: n, 6)
+    assert [running[-1] for running in seen] == [9, 4, 3, 2, 1, 1]
+    assert all(len(running) == 1 or (sum(running) <= 6 and len(running) <= 3) for running in seen)
+    assert max(map(len, seen)) > 1
+    assert model.fitting_bytes(2000, 100) == 2 * model.fitting_bytes(1000, 100) > model.fitting_bytes(2000, 10)
+
+
+def test_species_keys_are_checked_without_making_the_split_again(spark, monkeypatch):
+    checked, real = [], tables.key_collisions
+    monkeypatch.setattr(tables, "key_collisions", lambda df: checked.append(df) or real(df))
+    fused = view(spark, DATA, "fused").withColumn("species", F.lower(F.trim("species")))
+    split = all_species.split_all(fused)
+    assert [("role" in df.columns, "species" in df.columns) for df in checked] == [(False, True)]
+    assert set(rows(checked[0].select("species").distinct())) == set(rows(split.select("species").distinct()))
+    other = fused.where("species = 'click'").withColumn("species", F.lit("click!")).withColumn("occ_id", F.col("occ_id") + 10**6)
+    with pytest.raises(ValueError, match="same key"):
+        all_species.split_all(fused.unionByName(other.withColumn("species", F.lit("cli ck"))).unionByName(
+            other.withColumn("species", F.lit("cli_ck"))))
+
+
+def test_rows_are_laid_out_once_for_a_fit_and_released(spark, monkeypatch):
+    laid_out, real = [], model.Pipeline.fit
+
+    def watched(pipeline, df, *args):
+        laid_out.append((df.rdd.getNumPartitions(), df.storageLevel.useMemory, df))
+        return real(pipeline, df, *args)
+
+    monkeypatch.setattr(model.Pipeline, "fit", watched)
+    monkeypatch.setattr(model, "LEAST_ROWS_PER_TASK", 50)
+    grown(spark, 800, 5, trees=2)
+    assert [(tasks, kept) for tasks, kept, _ in laid_out] == [(16, True)]
+    assert not laid_out[0][2].storageLevel.useMemory and not laid_out[0][2].storageLevel.useDisk

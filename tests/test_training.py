@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import DATA, rows
 from shoalmark.functions.numbers import seeded_hash
-from shoalmark.operators import model
+from shoalmark.operators import model, split
 from shoalmark.operators.nearest import build_index
 from shoalmark.operators.split import assign_split
 from shoalmark.operators.training import pseudo_absences, shuffled, training_set, training_sets
@@ -79,6 +79,19 @@ def test_split_beyond_the_broadcast_budget(spark, no_broadcast):
     assert (got[0, "test"], got[1, "test"]) == (21, 9)
 
 
+def test_split_tests_the_smallest_hashes_whatever_the_buckets(spark, monkeypatch):
+    df = spark.range(30_000).select(F.col("id"), (F.col("id") % 3 == 0).cast("int").alias("label"))
+    hashes = df.withColumn("h", seeded_hash(42, "split", F.col("id"))).collect()
+    expected = set()
+    for label, n_test in ((0, 6000), (1, 3000)):
+        expected |= {r.id for r in sorted((r for r in hashes if r.label == label), key=lambda r: r.h)[:n_test]}
+    assert 16 ** split.BUCKET_DIGITS <= 4096  # tasks count these before the shuffle, however many rows
+    for digits in (split.BUCKET_DIGITS, 1, 5):
+        monkeypatch.setattr(split, "BUCKET_DIGITS", digits)
+        tested = assign_split(df, "label", ["id"]).where("role = 'test'").select("id").collect()
+        assert len(tested) == 9000 and {r.id for r in tested} == expected
+
+
 def separable(spark, n):
     """Presences in the north, absences in the south, some temperatures missing."""
     return spark.range(n).select(
